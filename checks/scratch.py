@@ -1,0 +1,21 @@
+"""Folders for files that a query writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which all executors can reach.
+
+    Without that setting a local session gets a temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        base = tempfile.mkdtemp(prefix="lakestrata-")
+    return f"{base.rstrip('/')}/lakestrata-{uuid.uuid4().hex}"
