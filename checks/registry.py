@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import oracles as sql
 from checks.scratch import shared_folder
-from checks.views import BATCH, VIEWS, table
+from checks.views import BATCH, VIEWS, spread_table, table
 from lakestrata.operators.conform import Field, conform, day, flag, moment, number
 from lakestrata.operators.history import HASH, build_versions
 from lakestrata.operators.latest import keep_latest
@@ -36,7 +36,7 @@ from lakestrata.sources.store import LayerStore
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Few enough rows per range that the given tables are cut into many ranges.
-SMALL_RANGE = 2_000
+SMALL_RANGE = 5_000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ class Lake:
 
     def claims(self) -> DataFrame:
         valid = self.checked(CLAIMS).valid
-        # The two claim batches are disjoint.
+        # One claim row per line item.
         bound = {"rows_at_most": self.rows("lineitem")}
         return core.claim_fact(valid, self.members(), self.providers(), **bound)
 
@@ -175,7 +175,7 @@ _LINE_TIES = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_q
 
 
 def _line_keys(lake: Lake) -> DataFrame:
-    lines = table(lake.spark, lake.sf_dir, "lineitem").select(
+    lines = spread_table(lake.spark, lake.sf_dir, "lineitem").select(
         F.when(F.col("l_suppkey") % 10 > 0, F.col("l_suppkey")).alias("l_suppkey"),
         *[name for name in (*_LINE_ORDER, *_LINE_TIES) if name != "l_suppkey"],
     )
@@ -184,13 +184,11 @@ def _line_keys(lake: Lake) -> DataFrame:
     )
 
 
-_LINE_KEYS_SQL = f"""SELECT *, CAST(l_shipdate AS STRING) AS l_shipdate FROM (
+_LINE_KEYS_SQL = f"""SELECT * EXCLUDE (shipped), CAST(shipped AS STRING) AS l_shipdate FROM (
   SELECT * EXCLUDE (l_shipdate), l_shipdate AS shipped, row_number() OVER (ORDER BY
     {", ".join(f"{c} ASC NULLS LAST" for c in (*_LINE_ORDER, *_LINE_TIES))}) AS line_sk
   FROM (SELECT CASE WHEN l_suppkey % 10 > 0 THEN l_suppkey END AS l_suppkey, l_shipdate,
-    {", ".join(_LINE_TIES)} FROM lineitem) AS s) AS k""".replace(
-    "SELECT *, CAST(l_shipdate AS", "SELECT * EXCLUDE (shipped), CAST(shipped AS", 1
-)
+    {", ".join(_LINE_TIES)} FROM lineitem) AS s) AS k"""
 
 
 def _change_rows(lake: Lake) -> DataFrame:
@@ -228,8 +226,7 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, datasets: Sequenc
         rows = VIEWS[dataset].frame(spark, sf_dir)
         kind = pipeline.LANDING_FORMATS[dataset]
         options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-        for number in range(1, len(VIEWS[dataset].batches) + 1):
-            batch = f"batch_{number:03d}"
+        for batch in VIEWS[dataset].batch_names:
             columns = [F.col(name) for name in VIEWS[dataset].columns]
             if dataset == "claims" and batch == _DRIFT_BATCH:
                 columns.append(F.lit("PORTAL").alias(_DRIFT_COLUMN))
@@ -290,7 +287,6 @@ def _stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-_FIRST_PROVIDERS = "providers"
 _STORED_SQL = {
     **{f"bronze_{name}": VIEWS[name].oracle_sql for name in DOMAINS},
     "silver_claims": sql.having(sql.CLAIMS_CHECKED, "valid"),

@@ -18,7 +18,12 @@ BATCH = "bronze_batch_id"
 
 @dataclass(frozen=True)
 class View:
-    """Columns and their SQL, with a source clause per landing batch."""
+    """Columns and their SQL, with a source clause per landing batch.
+
+    ``changed`` replaces columns in the second batch.  ``lineage`` adds columns
+    that are not source data; one source may hold several batches by giving
+    its batch id there.
+    """
 
     tables: tuple[str, ...]
     columns: dict[str, str]
@@ -36,6 +41,11 @@ class View:
             parts.append(f"SELECT {items}\nFROM {source}")
         return "\nUNION ALL\n".join(parts)
 
+    @property
+    def batch_names(self) -> list[str]:
+        count = 2 if BATCH in self.lineage else len(self.batches)
+        return [f"batch_{number:03d}" for number in range(1, count + 1)]
+
     @property
     def oracle_sql(self) -> str:
         """The view with its record hash, for the SQL side."""
@@ -45,7 +55,9 @@ class View:
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """The view with its record hash, for the Spark side."""
-        inputs = {name: table(spark, sf_dir, name) for name in self.tables}
+        main, *joined = self.tables
+        inputs = {name: table(spark, sf_dir, name) for name in joined}
+        inputs[main] = spread_table(spark, sf_dir, main)
         rows = spark.sql(self.sql, **inputs)
         return rows.withColumn("record_hash", row_digest(list(self.columns)))
 
@@ -54,9 +66,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_CLAIM_SOURCE = (
-    "{lineitem} AS l LEFT JOIN {orders} AS o ON l.l_orderkey = o.o_orderkey WHERE l.l_partkey % 4"
-)
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, spread over the cores when its file gives fewer tasks than that.
+
+    The given files hold one row group each.  Data in many splits is left as it is.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    few = name in LARGE and rows.rdd.getNumPartitions() < cores
+    return rows.repartition(cores, rows.columns[0]) if few else rows
+
+
+LARGE = ("lineitem", "orders", "customer", "events")
+
 
 CLAIMS = View(
     tables=("lineitem", "orders"),
@@ -102,7 +124,8 @@ CLAIMS = View(
             " WHEN l.l_partkey % 7 = 0 THEN NULL ELSE 'N' END"
         ),
     },
-    batches=(f"{_CLAIM_SOURCE} <> 0", f"{_CLAIM_SOURCE} = 0"),
+    lineage={BATCH: "CASE WHEN l.l_partkey % 4 = 0 THEN 'batch_002' ELSE 'batch_001' END"},
+    batches=("{lineitem} AS l LEFT JOIN {orders} AS o ON l.l_orderkey = o.o_orderkey",),
 )
 
 _MEMBER_SOURCE = "{customer} AS c LEFT JOIN {nation} AS n ON c.c_nationkey = n.n_nationkey"

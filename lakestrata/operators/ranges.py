@@ -10,6 +10,7 @@ agree on it, and nothing has to be cached or written to make it stable.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -31,19 +32,44 @@ def ascending(columns: Sequence[str]) -> list[Column]:
 
 @dataclass(frozen=True)
 class RangeSplit:
-    """Ranges 0..count-1 over ``order``; every row of a range precedes the next range."""
+    """Ranges 0..count-1 over ``order``; every row of a range precedes the next range.
+
+    ``cuts`` are the sorted split points as decoded JSON and ``cut_type`` their
+    Spark type: a struct with a null mark and a value per ordering column.
+    """
 
     count: int
     order: tuple[str, ...]
-    bucket: Column
-
-    def tag(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(RANGE, self.bucket)
+    cuts: tuple = ()
+    cut_type: T.DataType | None = None
 
     @property
     def window(self) -> WindowSpec:
         return Window.partitionBy(RANGE).orderBy(*ascending(self.order))
 
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the range number, which is how many cuts are at or before the row.
+
+        A binary search written as one expression per halving step, each on the
+        cuts of its own level, so that all of it compiles into one generated
+        loop and the plan holds every cut once.
+        """
+        if not self.cuts:
+            return df.withColumn(RANGE, F.lit(0))
+        df = df.withColumn("_at", _position(self.order).cast(self.cut_type))
+        df = df.withColumn(RANGE, F.lit(0))
+        for level in reversed(range(len(self.cuts).bit_length())):
+            step = 1 << level
+            cuts = self._literal(self.cuts[step - 1 :: 2 * step])
+            # Past the last cut of a level, get() is null and the step is not taken.
+            passed = F.coalesce(F.get(cuts, F.col(RANGE)) <= F.col("_at"), F.lit(False))
+            df = df.withColumn(RANGE, F.col(RANGE) * 2 + passed.cast("int"))
+        return df.drop("_at")
+
+    def _literal(self, cuts: Sequence) -> Column:
+        text = json.dumps(cuts, ensure_ascii=False)
+        return F.from_json(F.lit(text), T.ArrayType(self.cut_type), _JSON_OPTIONS)
+
 
 def split_ranges(
     df: DataFrame,
@@ -68,25 +94,25 @@ def split_ranges(
     total = df.count() if rows_at_most is None else rows_at_most
     wanted = min(max_ranges, math.ceil(total / rows_per_range))
     if wanted <= 1:
-        return RangeSplit(1, order, F.lit(0))
+        return RangeSplit(1, order)
 
-    position = _position(order)
     one_in = max(1, total // (wanted * SAMPLES_PER_RANGE))
-    sample = df.where(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0).select(position.alias("p"))
+    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0)
+    positions = sampled.select(_position(order).alias("p"))
     # The sample is a fixed number per range, whatever the data size.
-    ordered = sample.agg(F.array_sort(F.collect_list("p")).alias("s"))
-    at = F.expr(
+    ordered = positions.agg(F.array_sort(F.collect_list("p")).alias("s"))
+    every = F.expr(
         f"transform(sequence(1, {wanted - 1}), i -> s[cast(i * size(s) div {wanted} as int)])"
     )
-    cuts = ordered.select(
-        F.when(F.size("s") > 0, F.to_json(F.array_distinct(at), _JSON_OPTIONS))
+    text = ordered.select(
+        F.when(F.size("s") > 0, F.to_json(F.array_distinct(every), _JSON_OPTIONS))
     ).first()[0]
-    if cuts is None:
-        return RangeSplit(1, order, F.lit(0))
+    cuts = tuple(json.loads(text)) if text else ()
+    return RangeSplit(len(cuts) + 1, order, cuts, _nullable(positions.schema["p"].dataType))
+
 
-    point = sample.schema["p"].dataType
-    edges = F.from_json(F.lit(cuts), T.ArrayType(point), _JSON_OPTIONS)
-    return RangeSplit(wanted, order, _cuts_at_or_before(position, edges, wanted))
+def _nullable(point: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(part.name, part.dataType) for part in point])
 
 
 _JSON_OPTIONS = {
@@ -102,17 +128,3 @@ def _position(order: Sequence[str]) -> Column:
     for i, name in enumerate(order):
         parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
     return F.struct(*parts)
-
-
-def _cuts_at_or_before(position: Column, edges: Column, count: int) -> Column:
-    """How many of the sorted ``edges`` are <= ``position``, by halving steps.
-
-    ``get`` past the last edge is null, which fails the comparison, so the
-    steps need not know how many edges there are.
-    """
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
-
-    def advance(found: Column, step: Column) -> Column:
-        return F.when(F.get(edges, found + step - 1) <= position, found + step).otherwise(found)
-
-    return F.aggregate(steps, F.lit(0), advance)

@@ -32,7 +32,7 @@ def add_surrogate_key(
         return df.withColumn(name, _rank(Window.orderBy(*ascending(order))))
 
     # One number per range reaches the driver; the range count is capped.
-    held = dict(df.groupBy(split.bucket.alias(RANGE)).count().collect())
+    held = dict(split.tag(df.select(*order)).groupBy(RANGE).count().collect())
     before = accumulate((held.get(i, 0) for i in range(split.count)), initial=0)
     offsets = F.from_json(F.lit(str(list(before))), "array<bigint>")
     return (
