@@ -1,0 +1,317 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.functions.columns import (
+    indicator,
+    name_part,
+    percentage,
+    row_digest,
+    year_month,
+)
+from lakestrata.operators.conform import (
+    Field,
+    MissingColumnError,
+    conform,
+    day,
+    flag,
+    moment,
+    number,
+    plain,
+    project,
+)
+from lakestrata.operators.latest import keep_latest
+from lakestrata.operators.lookup import lookup
+from lakestrata.operators.quality import (
+    Rule,
+    check,
+    not_negative,
+    one_of,
+    outcome_summary,
+    parsed,
+    present,
+    reject_profile,
+    reject_reason,
+    split_by_reason,
+)
+from tests.conftest import plan_of
+
+
+def values(df, *columns):
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=str)
+
+
+# Column builders
+
+
+def test_row_digest_reads_nulls_as_the_word(spark):
+    rows = spark.createDataFrame([(None, "x"), ("NULL", "x"), ("a", "x")], "a string, b string")
+    first, second, third = [row[0] for row in rows.select(row_digest(["a", "b"])).collect()]
+    assert first == second != third
+
+
+def test_row_digest_cannot_tell_where_a_separator_came_from(spark):
+    rows = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "a string, b string")
+    assert rows.select(row_digest(["a", "b"])).distinct().count() == 1
+
+
+@pytest.mark.parametrize(
+    ("name", "first", "last"),
+    [
+        ("Madonna", "Madonna", None),
+        (" A B C ", "A", "B"),
+        ("A  B", "A", ""),
+        ("", "", None),
+        (None, None, None),
+    ],
+)
+def test_name_parts(spark, name, first, last):
+    df = spark.createDataFrame([(name,)], "n string")
+    assert df.select(name_part(F.col("n"), 0), name_part(F.col("n"), 1)).first() == (first, last)
+
+
+def test_percentage_is_guarded_and_may_pass_100(spark):
+    df = spark.createDataFrame([(1, 3), (2, 1), (5, 0), (5, None)], "p int, w int")
+    assert [row[0] for row in df.select(percentage(F.col("p"), F.col("w"))).collect()] == [
+        33.33,
+        200.0,
+        0.0,
+        0.0,
+    ]
+
+
+def test_indicator_and_month(spark):
+    df = spark.createDataFrame([("A", date(2025, 3, 9)), (None, None)], "s string, d date")
+    found = df.select(indicator(F.col("s") == "A"), year_month(F.col("d"))).collect()
+    assert [tuple(row) for row in found] == [(1, "2025-03"), (0, None)]
+
+
+# Conform
+
+
+def test_bad_text_becomes_null(spark):
+    df = spark.createDataFrame([("abc", "2025-99-99", "zzz"), ("1.5", "2025-01-02", "2025-01-02 03:04:05")],
+                               "amount string, day string, at string")
+    out = conform(df, [number("amount"), day("day"), moment("at")])
+    assert dict(out.dtypes) == {"amount": "double", "day": "date", "at": "timestamp"}
+    assert values(out, "amount", "day", "at") == sorted(
+        [(None, None, None), (1.5, date(2025, 1, 2), datetime(2025, 1, 2, 3, 4, 5))], key=str
+    )
+
+
+def test_absent_columns_get_typed_defaults(spark):
+    df = spark.createDataFrame([("k",)], "id string")
+    out = conform(df, [number("amount"), day("day"), flag("gone"), Field("version", "int", absent=1),
+                       Field("plan", absent="NONE")])
+    assert out.columns == ["id", "amount", "day", "gone", "version", "plan"]
+    assert tuple(out.first()) == ("k", None, None, "N", 1, "NONE")
+    assert dict(out.dtypes)["version"] == "int"
+
+
+def test_absent_default_leaves_null_values_alone(spark):
+    df = spark.createDataFrame([(None,)], "plan string")
+    assert conform(df, [Field("plan", absent="NONE")]).first()[0] is None
+
+
+@pytest.mark.parametrize(("raw", "clean"), [(" y ", "Y"), (None, "N"), ("n", "N")])
+def test_flags(spark, raw, clean):
+    df = spark.createDataFrame([(raw,)], "f string")
+    assert conform(df, [flag("f")]).first()[0] == clean
+
+
+def test_fallback_uses_the_conformed_column(spark):
+    df = spark.createDataFrame([("2025-12-15T11:00:00",), ("zzz",)], "updated_at string")
+    out = conform(df, [day("effective_date", fallbacks=("updated_at",)), moment("updated_at")])
+    assert values(out, "effective_date") == sorted([(date(2025, 12, 15),), (None,)], key=str)
+
+
+def test_renamed_column(spark):
+    df = spark.createDataFrame([("7.5",)], "paid_amount string")
+    out = conform(df, [number("payment_amount", fallbacks=("paid_amount",))])
+    assert tuple(out.first()) == ("7.5", 7.5)
+    both = spark.createDataFrame([("7.5", "8")], "paid_amount string, payment_amount string")
+    assert conform(both, [number("payment_amount", fallbacks=("paid_amount",))]).first()[1] == 8.0
+
+
+def test_unknown_columns_pass_through_conform_but_not_project(spark):
+    df = spark.createDataFrame([("k", "drift")], "id string, extra string")
+    assert conform(df, [plain("id")]).columns == ["id", "extra"]
+    assert project(df, [plain("id")]).columns == ["id"]
+
+
+def test_required_column_is_named_in_the_error(spark):
+    df = spark.createDataFrame([("k",)], "id string")
+    with pytest.raises(MissingColumnError, match="'gender'"):
+        project(df, [plain("gender")])
+
+
+def test_conform_is_one_projection(spark):
+    df = spark.range(3).select(F.col("id").cast("string").alias("c0"))
+    out = conform(df, [number("c0"), *[number(f"c{i}") for i in range(1, 20)]])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Project") == 1
+
+
+# Latest row
+
+
+ROWS = "id string, updated_at string, bronze_batch_id string, record_hash string"
+
+
+def test_latest_by_update_time_with_unreadable_times_last(spark):
+    df = spark.createDataFrame(
+        [("a", "2025-01-01", "b1", "1"), ("a", "2025-02-01", "b1", "2"), ("a", "zzz", "b2", "3"),
+         ("b", None, "b1", "4")], ROWS)
+    assert values(keep_latest(df, ["id"]), "id", "record_hash") == [("a", "2"), ("b", "4")]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_ties_go_to_the_later_batch_then_the_smaller_hash(spark, parts):
+    df = spark.createDataFrame(
+        [("a", "2025-01-01", "b1", "0"), ("a", "2025-01-01", "b2", "2"), ("a", "2025-01-01", "b2", "1")],
+        ROWS).repartition(parts)
+    assert values(keep_latest(df, ["id"]), "record_hash") == [("1",)]
+
+
+def test_null_keys_collapse_unless_kept(spark):
+    df = spark.createDataFrame(
+        [(None, "2025-01-01", "b1", "1"), (None, "2025-01-02", "b1", "2"), ("a", "2025-01-02", "b1", "3")],
+        ROWS)
+    assert values(keep_latest(df, ["id"]), "record_hash") == [("2",), ("3",)]
+    kept = keep_latest(df, ["id"], keep_null_keys=True)
+    assert values(kept, "record_hash") == [("1",), ("2",), ("3",)]
+
+
+def test_latest_needs_a_clock(spark):
+    with pytest.raises(ValueError, match="updated_at"):
+        keep_latest(spark.createDataFrame([("a",)], "id string"), ["id"])
+
+
+def test_load_time_alone_is_enough(spark):
+    df = spark.createDataFrame(
+        [("a", datetime(2025, 1, 1), 1), ("a", datetime(2025, 1, 2), 2)],
+        "id string, ingestion_timestamp timestamp, n int")
+    assert values(keep_latest(df, ["id"]), "n") == [(2,)]
+
+
+def test_hot_keys_are_limited_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), F.current_timestamp().alias("updated_at"))
+    plan = plan_of(keep_latest(df, ["k"]))
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+# Quality
+
+
+def test_reasons_follow_rule_order_and_unknown_fails(spark):
+    df = spark.createDataFrame([(None, "X"), (-1.0, "APPROVED"), (5.0, None), (5.0, "APPROVED")],
+                               "amount double, status string")
+    rules = [present("amount"), not_negative("amount"), one_of("status", ["APPROVED"])]
+    assert [row[0] for row in df.select(reject_reason(rules)).collect()] == [
+        "amount is null | amount is negative | status is invalid",
+        "amount is negative",
+        "status is invalid",
+        "",
+    ]
+
+
+def test_no_rules_no_reason(spark):
+    assert spark.range(1).select(reject_reason([])).first()[0] == ""
+
+
+def test_split_counts_null_and_empty_as_clean(spark):
+    df = spark.createDataFrame([(None,), ("",), ("bad",)], "reject_reason string")
+    valid, rejected = split_by_reason(df)
+    assert (valid.count(), rejected.count()) == (2, 1)
+
+
+def test_deletes_leave_valid_but_not_rejects(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, "N"), ("b", 1.0, "Y"), ("c", -1.0, "Y")],
+        "id string, amount double, source_delete_flag string")
+    checked = check(df, [not_negative("amount")])
+    assert values(checked.valid, "id") == [("a",)]
+    assert values(checked.rejects, "id") == [("c",)]
+    assert checked.valid.columns == checked.rejects.columns == [*df.columns, "reject_reason"]
+
+
+def test_profile_and_summary(spark):
+    df = spark.createDataFrame([(1.0, "N"), (-1.0, "N"), (None, "N"), (-2.0, "N")],
+                               "amount double, source_delete_flag string")
+    checked = check(df, [Rule(F.col("amount").isNotNull(), "none"), not_negative("amount")])
+    assert values(reject_profile(checked.rejects), "reject_reason", "count") == [
+        ("amount is negative", 2),
+        ("none | amount is negative", 1),
+    ]
+    empty = check(df.limit(0), [parsed("amount")])
+    summary = outcome_summary({"pay": checked, "none": empty})
+    assert values(summary, *summary.columns) == [("none", 0, 0, 0.0), ("pay", 1, 3, 75.0)]
+
+
+# Lookup
+
+
+def test_lookup_keeps_unmatched_and_null_keys(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "f int, k string")
+    dim = spark.createDataFrame([("a", 10), ("b", 20), (None, 30)], "k string, sk int")
+    out = lookup(facts, dim, ["k"], ["sk"], spread_by=["f"])
+    assert out.columns == ["f", "k", "sk"]
+    assert values(out, "f", "sk") == [(1, 10), (2, None), (3, None)]
+
+
+def test_lookup_on_two_columns(spark):
+    facts = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", None)], "f int, c string, l int")
+    dim = spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "c string, l int, sk int")
+    out = lookup(facts, dim, ["c", "l"], {"sk": "claim_sk"}, spread_by=["f"])
+    assert values(out, "f", "claim_sk") == [(1, 10), (2, None), (3, None)]
+
+
+def _tasks_with_rows(df):
+    return df.groupBy(F.spark_partition_id()).count().count()
+
+
+def test_null_keys_are_spread_over_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        facts = spark.range(2000).select("id", F.when(F.col("id") < 5, F.col("id")).alias("k"))
+        dim = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("sk"))
+        out = lookup(facts, dim, ["k"], ["sk"], spread_by=["id"])
+        assert "SortMergeJoin" in plan_of(out)
+        assert _tasks_with_rows(out.where("k is null")) == 8
+        assert out.where("sk is not null").count() == 5
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        facts = spark.range(0, 60000, 1, 16).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
+        dim = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("sk"))
+        out = lookup(facts, dim, ["k"], ["sk"], spread_by=["id"])
+        result = out.agg(F.count("*"), F.count_if(F.expr("k = sk"))).first()
+        assert tuple(result) == (60000, 60000)
+        out.collect()
+        assert "skew=true" in plan_of(out)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
