@@ -1,8 +1,8 @@
 """The registered queries in plain SQL, written from the column definitions.
 
 Nothing here goes through the library: each layer is one more subquery.
-Percentages and averages are rounded in decimal, as binary rounding of a tie
-differs between engines.
+Doubles are rounded by their shortest decimal text, half away from zero, which
+is how Spark rounds them.
 """
 
 from __future__ import annotations
@@ -135,13 +135,22 @@ REJECT_PROFILE = " UNION ALL ".join(
 )
 
 
+def two_decimals(value: str) -> str:
+    exact = f"CAST(CAST({value} AS STRING) AS DECIMAL(34, 18))"
+    return f"CAST(round({exact}, 2) AS DOUBLE)"
+
+
 def percent(part: str, whole: str) -> str:
-    exact = f"CAST(CAST({part} AS DOUBLE) / {whole} * 100 AS DECIMAL(28, 9))"
-    return f"CASE WHEN {whole} > 0 THEN CAST(round({exact}, 2) AS DOUBLE) ELSE 0.0 END"
+    share = two_decimals(f"(CAST({part} AS DOUBLE) / {whole} * 100)")
+    return f"CASE WHEN {whole} > 0 THEN {share} ELSE 0.0 END"
 
 
 def mean(value: str) -> str:
-    return f"CAST(round(CAST(avg({value}) AS DECIMAL(28, 9)), 2) AS DOUBLE)"
+    return two_decimals(f"(CAST(sum({value}) AS DOUBLE) / count({value}))")
+
+
+def money_mean(value: str) -> str:
+    return two_decimals(f"({total(value)} / count({value}))")
 
 
 def total(value: str) -> str:
@@ -299,7 +308,7 @@ def _lines(*kinds: str) -> str:
 
 COST_BY_MONTH = f"""SELECT claim_year_month, payer_id, {_CLAIM_COUNT},
   {total("claim_amount")} AS total_claim_amount, {total("approved_amount")} AS total_approved_amount,
-  {total("paid_amount")} AS total_paid_amount, {mean("claim_amount")} AS avg_claim_amount
+  {total("paid_amount")} AS total_paid_amount, {money_mean("claim_amount")} AS avg_claim_amount
 FROM ({FACT_CLAIM}) AS f GROUP BY claim_year_month, payer_id"""
 
 DENIALS = f"""SELECT d.provider_id, d.claim_year_month, d.denial_reason_code,

@@ -46,3 +46,12 @@ def percentage(part: Column, whole: Column) -> Column:
 
 def rounded(value: Column) -> Column:
     return F.round(value, 2)
+
+
+def money_mean(amount: Column) -> Column:
+    """Average of an amount to two decimals.
+
+    The sum is settled at six decimals first: adding doubles in another order
+    changes their last bits, which could tip an average that lies on a half cent.
+    """
+    return rounded(F.try_divide(F.round(F.sum(amount), 6), F.count(amount)))
