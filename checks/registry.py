@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracles as sql
 from checks.scratch import shared_folder
-from checks.views import BATCH, VIEWS, spread_table, table
+from checks.views import BATCH, VIEWS, row_count, spread_table, table
 from lakestrata.operators.conform import Field, conform, day, flag, moment, number
 from lakestrata.operators.history import HASH, build_versions
 from lakestrata.operators.latest import keep_latest
@@ -22,12 +22,8 @@ from lakestrata.plans.domains import (
     CLAIMS,
     DEFAULT_COUNTRY,
     DOMAINS,
-    MEMBERS,
-    PAYMENTS,
     PROVIDER_TRACKED,
-    PROVIDERS,
     UNKNOWN_PLAN,
-    Domain,
 )
 from lakestrata.plans.silver import refine
 from lakestrata.sources.landing import LINEAGE, add_lineage
@@ -51,40 +47,39 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 class Lake:
-    """Layers over the given tables, all lazy."""
+    """Layers over the given tables; each frame is built once per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        for name in ("view", "checked", "members", "providers", "claims", "stored_claims"):
+            setattr(self, name, cache(getattr(self, name)))
 
     def view(self, name: str) -> DataFrame:
         return VIEWS[name].frame(self.spark, self.sf_dir)
 
-    def checked(self, domain: Domain, view: str | None = None) -> Checked:
-        return refine(self.view(view or domain.name), domain)
-
-    def at_most(self, *tables: str) -> dict[str, int]:
-        """Row bound for key ranges: a view repeats a table's rows at most once."""
-        return {"rows_at_most": 2 * sum(self.rows(name) for name in tables)}
-
-    def rows(self, name: str) -> int:
-        return table(self.spark, self.sf_dir, name).count()
+    def checked(self, view: str) -> Checked:
+        return refine(self.view(view), DOMAINS[view.removeprefix("linked_")])
 
     def members(self) -> DataFrame:
-        return core.member_dimension(self.checked(MEMBERS).valid, **self.at_most("customer"))
+        return core.member_dimension(self.checked("members").valid, **self.at_most("customer"))
 
     def providers(self) -> DataFrame:
-        return core.provider_dimension(self.checked(PROVIDERS).valid, **self.at_most("supplier"))
+        return core.provider_dimension(self.checked("providers").valid, **self.at_most("supplier"))
 
     def claims(self) -> DataFrame:
-        valid = self.checked(CLAIMS).valid
-        # One claim row per line item.
-        bound = {"rows_at_most": self.rows("lineitem")}
-        return core.claim_fact(valid, self.members(), self.providers(), **bound)
+        dims = self.members(), self.providers()
+        return core.claim_fact(self.checked("claims").valid, *dims, **self.at_most("lineitem"))
+
+    def stored_claims(self) -> DataFrame:
+        """The claim fact as a written table, for queries that read it more than once."""
+        store = LayerStore(self.spark, shared_folder(self.spark))
+        store.write(self.claims(), "fact_claim")
+        return store.read("fact_claim")
 
-    def payments(self, view: str = "linked_payments") -> DataFrame:
-        valid = self.checked(PAYMENTS, view).valid
-        dims = self.members(), self.providers(), self.claims()
-        return core.payment_fact(valid, *dims, **self.at_most("orders"))
+    def payments(self, view: str = "linked_payments", stored: bool = False) -> DataFrame:
+        claims = self.stored_claims() if stored else self.claims()
+        dims = self.members(), self.providers(), claims
+        return core.payment_fact(self.checked(view).valid, *dims, **self.at_most("orders"))
 
     def versions(self, view: str = "provider_history", **sizing) -> DataFrame:
         source = "events" if view == "provider_history" else "supplier"
@@ -93,6 +88,11 @@ class Lake:
     def current_providers(self) -> DataFrame:
         return history.current_providers(self.versions("providers"))
 
+    def at_most(self, name: str) -> dict[str, int]:
+        """Row bound for a view of the table: two batches hold a row at most twice."""
+        batches = 1 if name == "lineitem" else 2
+        return {"rows_at_most": batches * row_count(self.spark, self.sf_dir, name)}
+
 
 def _on_lake(build: Callable[[Lake], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(build(Lake(spark, sf_dir)))
@@ -110,17 +110,17 @@ def _file_lineage(lake: Lake) -> DataFrame:
 
 
 def _reject_reasons(lake: Lake) -> DataFrame:
-    return lake.checked(CLAIMS).rows.select(
+    return lake.checked("claims").rows.select(
         "claim_id", "claim_line_id", "record_hash", REASON, OUTCOME
     )
 
 
 def _reject_profile(lake: Lake) -> DataFrame:
     profiles = [
-        reject_profile(lake.checked(domain).rejects).select(
+        reject_profile(lake.checked(name).rejects).select(
             F.lit(name).alias("dataset"), REASON, "count"
         )
-        for name, domain in DOMAINS.items()
+        for name in DOMAINS
     ]
     return reduce(DataFrame.unionByName, profiles)
 
@@ -319,17 +319,17 @@ QUERIES: dict[str, Query] = {
         lambda lake: keep_latest(lake.view("claims"), CLAIMS.keys).select(*_source_columns("claims"))
     ),
     "claim_reject_reason": _on_lake(_reject_reasons),
-    "silver_claims_valid": _on_lake(lambda lake: lake.checked(CLAIMS).valid),
-    "silver_claims_rejects": _on_lake(lambda lake: lake.checked(CLAIMS).rejects),
-    "silver_members": _on_lake(lambda lake: lake.checked(MEMBERS).valid),
-    "silver_members_rejects": _on_lake(lambda lake: lake.checked(MEMBERS).rejects),
-    "silver_providers": _on_lake(lambda lake: lake.checked(PROVIDERS).valid),
-    "silver_providers_rejects": _on_lake(lambda lake: lake.checked(PROVIDERS).rejects),
-    "silver_payments_valid": _on_lake(lambda lake: lake.checked(PAYMENTS).valid),
-    "silver_payments_rejects": _on_lake(lambda lake: lake.checked(PAYMENTS).rejects),
+    "silver_claims_valid": _on_lake(lambda lake: lake.checked("claims").valid),
+    "silver_claims_rejects": _on_lake(lambda lake: lake.checked("claims").rejects),
+    "silver_members": _on_lake(lambda lake: lake.checked("members").valid),
+    "silver_members_rejects": _on_lake(lambda lake: lake.checked("members").rejects),
+    "silver_providers": _on_lake(lambda lake: lake.checked("providers").valid),
+    "silver_providers_rejects": _on_lake(lambda lake: lake.checked("providers").rejects),
+    "silver_payments_valid": _on_lake(lambda lake: lake.checked("payments").valid),
+    "silver_payments_rejects": _on_lake(lambda lake: lake.checked("payments").rejects),
     "reject_profile": _on_lake(_reject_profile),
     "dq_summary": _on_lake(
-        lambda lake: outcome_summary({name: lake.checked(d) for name, d in DOMAINS.items()})
+        lambda lake: outcome_summary({name: lake.checked(name) for name in DOMAINS})
     ),
     "conform_drift": _on_lake(_drift),
     "name_split": _on_lake(_names),
@@ -346,15 +346,17 @@ QUERIES: dict[str, Query] = {
     "scd2_current": _on_lake(lambda lake: history.current_providers(lake.versions())),
     "mart_claim_cost_by_month": _on_lake(lambda lake: marts.claim_cost_by_month(lake.claims())),
     "mart_denial_analysis": _on_lake(
-        lambda lake: marts.denial_analysis(lake.claims(), lake.current_providers())
+        lambda lake: marts.denial_analysis(lake.stored_claims(), lake.current_providers())
     ),
     "mart_provider_performance": _on_lake(
         lambda lake: marts.provider_performance(
-            lake.claims(), lake.payments(), lake.current_providers()
+            lake.stored_claims(), lake.payments(stored=True), lake.current_providers()
         )
     ),
     "mart_member_utilization": _on_lake(
-        lambda lake: marts.member_utilization(lake.claims(), lake.payments(), lake.members())
+        lambda lake: marts.member_utilization(
+            lake.stored_claims(), lake.payments(stored=True), lake.members()
+        )
     ),
     "mart_claim_turnaround": _on_lake(lambda lake: marts.claim_turnaround(lake.claims())),
     "stored_layer_counts": _stored_layers,

@@ -8,6 +8,7 @@ keys, so they grow with the tables.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,10 +63,17 @@ class View:
         return rows.withColumn("record_hash", row_digest(list(self.columns)))
 
 
+@lru_cache(maxsize=32)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its files are listed once per session."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=32)
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return table(spark, sf_dir, name).count()
+
+
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table, spread over the cores when its file gives fewer tasks than that.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +50,12 @@ def reject_reason(rules: Iterable[Rule]) -> Column:
     return F.concat_ws(" | ", *failed)
 
 
+def passes(rules: Iterable[Rule]) -> Column:
+    """True where every rule holds, which is where the reason is empty."""
+    held = [F.coalesce(rule.condition, F.lit(False)) for rule in rules]
+    return reduce(and_, held, F.lit(True))
+
+
 def is_clean(reason: str = REASON) -> Column:
     return F.coalesce(F.col(reason), F.lit("")) == ""
 
@@ -81,10 +88,10 @@ class Checked:
 
 def check(df: DataFrame, rules: Iterable[Rule], delete_flag: str = "source_delete_flag") -> Checked:
     """Annotate rows.  A deleted row that also fails a rule stays a reject."""
-    outcome = (
-        F.when(~is_clean(), REJECT).when(F.col(delete_flag) == "Y", DELETED).otherwise(VALID)
-    )
-    return Checked(df.withColumn(REASON, reject_reason(rules)).withColumn(OUTCOME, outcome))
+    rules = list(rules)
+    deleted = F.col(delete_flag) == "Y"
+    outcome = F.when(~passes(rules), REJECT).when(deleted, DELETED).otherwise(VALID)
+    return Checked(df.withColumns({REASON: reject_reason(rules), OUTCOME: outcome}))
 
 
 def reject_profile(rejects: DataFrame) -> DataFrame:
