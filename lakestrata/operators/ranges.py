@@ -88,7 +88,8 @@ def split_ranges(
     range, and only the split points come to the driver.
 
     Ranges are cut on the full tuple of ordering columns, so append tie-breaking
-    columns to ``order`` where leading columns repeat a lot.
+    columns to ``order`` where leading columns repeat a lot.  ``df`` is read in
+    several passes and must hold the same rows in each.
     """
     order = tuple(order)
     total = df.count() if rows_at_most is None else rows_at_most
