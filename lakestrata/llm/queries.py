@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestrata.llm import packing, quality_rules, substring_dedup, token_ids
+from lakestrata.llm import jaccard_join, packing, quality_rules, substring_dedup, token_ids
 from lakestrata.llm.common import table
 
 
@@ -18,6 +19,11 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -35,6 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_ids": op4_token_ids,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
