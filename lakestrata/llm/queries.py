@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import jaccard_join, packing, quality_rules, substring_dedup, token_ids
-from lakestrata.llm.common import table
+import corpus_pipeline
+from lakestrata.llm import decontamination, jaccard_join, packing, quality_rules, substring_dedup, token_ids
+from lakestrata.llm.common import table, tokenizer_file
 
 
-def tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer())
+    return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +29,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), tokenizer()).drop("ids")
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file()).drop("ids")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +39,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op4_token_ids": op4_token_ids,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
