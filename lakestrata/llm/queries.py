@@ -6,10 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakestrata.llm import decontamination, jaccard_join, packing, quality_rules, substring_dedup, token_ids
+from lakestrata.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, substring_dedup, token_counts, token_ids, url_filter
 from lakestrata.llm.common import table, tokenizer_file
 
 
+RULES = [  # fixed values
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after an edit of every document: its middle tenth is replaced by its first."""
+    docs = table(spark, sf_dir, "documents")
+    size = F.char_length("text")
+    cut = F.floor(size / 10).cast("int")
+    edits = docs.where(size > 0).select(
+        "doc_id",
+        F.lit(0).alias("seq"),
+        F.floor(size / 2).cast("int").alias("at"),
+        cut.alias("length"),
+        F.col("text").substr(F.lit(1), cut).alias("insert"),
+    )
+    return token_counts.recount(docs, edits, tokenizer_file())
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -18,6 +46,15 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
+    return lm_scoring.score(table(spark, sf_dir, "documents"), training)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard_join.linked_components(table(spark, sf_dir, "documents"))
     return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -39,8 +76,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_token_ids": op4_token_ids,
+    "op5_license_scan": op5_license_scan,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
@@ -48,4 +89,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_license_scan": license_scan.ORACLE}
