@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from lakestrata.llm.common import WORD, text_or_empty, window_hashes, words
 
@@ -16,7 +17,7 @@ METRICS = {"symbol_rate": 0.2, "dup_line_rate": 0.3, "repeat_rate": 0.25, "word_
 ACCURACY = 0.01
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def repeated_words(hashes: pd.Series) -> pd.Series:
     """Words that lie in an 8-word window found twice or more in the text."""
 
