@@ -108,6 +108,9 @@ class LayerStore:
 
     def _save(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> None:
         writer = df.write.format(self.fmt).mode(mode).options(**self.write_options)
+        if mode == "overwrite":
+            # A session set to dynamic overwrites would keep the partition that gets no rows this time.
+            writer = writer.option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(name))
