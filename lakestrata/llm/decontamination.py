@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of passages with items."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of passages with items."""
 
 from __future__ import annotations
 
@@ -6,13 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import stored, text_or_empty, window_hashes
 
 SEED = 5  # words of a seed; an item with fewer is one seed
-NEAR = 3  # of so many neighbouring n-grams the rarest becomes a seed
 LIMIT = 0.5  # alignment score over that of a full copy
 FILTER_BITS = 1 << 22
 MATCH, OTHER, GAP = 2, -1, -1
@@ -63,8 +62,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: s
     """doc_id, item_id, score (1 for a full copy): documents that hold a benchmark item, edited or not.
 
     Documents are searched through a fixed-size bit filter of the items' n-grams, so only possible seeds are
-    shuffled.  Of each ``NEAR`` neighbouring n-grams of an item the one in fewest documents is a seed; no n-gram
-    is left out for being frequent.  Passages of equal words are aligned once.  Null and empty texts match nothing; a
+    shuffled.  Every n-gram of an item is a seed, so any one that a document shares leads to an alignment; none is
+    left out for being frequent.  Passages of equal words are aligned once.  Null and empty texts match nothing; a
     null document id is not returned; repeated rows give one result.
     """
     hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
@@ -91,11 +90,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: s
     searched = rows.select("id", "th", hashed(plain_words(F.col("body"))).alias("wh"))
     hits = stored(grams(searched, short, bits), "hits")
 
-    spread = hits.select("h", "id").distinct().groupBy("h").agg(F.count("*").alias("docs"))
-    ranked = item_grams.join(spread, "h", "left").fillna(0, ["docs"])
-    near = Window.partitionBy("item", "len").orderBy("pos").rowsBetween(0, NEAR - 1)  # one item's words
-    rarest = ranked.select("item", "len", F.min(F.struct("docs", "h", "pos")).over(near).alias("s"))
-    seeds = rarest.select("item", "len", "s.h", F.col("s.pos").alias("ipos")).distinct()
+    # Every item n-gram that a document holds is a seed: an edited one beside it cannot mask it.
+    seeds = item_grams.select("item", "len", "h", F.col("pos").alias("ipos"))
 
     # A passage reaches half an item over each side of a stretch of diagonals one item long.
     stretch = F.floor((F.col("pos") - F.col("ipos")) / F.col("len"))

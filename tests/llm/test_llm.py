@@ -85,6 +85,35 @@ def test_decontamination_finds_copies_and_edits(spark, docs):
     assert decontamination.decontaminated(docs, benchmark).count() == docs.count() - 1
 
 
+def test_decontamination_equals_brute_force_alignment(spark):
+    """One word in six or seven replaced, with the last one and without it, in one document and in several."""
+    benchmark, docs = [], []
+    for item in range(4):
+        words = run_of(100 + item, 42 + item).split(" ")
+        benchmark.append((item, " ".join(words)))
+        for step in (6, 7):
+            for first in range(step):
+                edited = [f"x{item}" if k % step == first else w for k, w in enumerate(words)]
+                docs.append((len(docs), run_of(200 + len(docs), 30) + " " + " ".join(edited) + " " + run_of(7, 30)))
+        docs.append((len(docs), " ".join(words)))
+        docs.append((len(docs), " ".join(words[:8])))
+    lone = run_of(110, 42).split(" ")  # held by one document only, its last word replaced too
+    benchmark.append((4, " ".join(lone)))
+    docs.append((len(docs), run_of(111, 30) + " " + " ".join("x4" if k % 7 == 6 else w for k, w in enumerate(lone))))
+    expected = set()
+    for d, text in docs:
+        for i, item in benchmark:
+            a, b = (np.array([zlib.crc32(w.encode()) for w in t.split(" ")]) for t in (text, item))
+            if decontamination.alignment_score(a, b) >= decontamination.LIMIT * 2 * len(b):
+                expected.add((d, i))
+    assert len(expected) == 4 * 14 + 1
+    found = decontamination.matches(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(benchmark, "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
 def test_quality_keeps_clean_documents(docs):
     got = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in quality_rules.judge(docs).collect()}
     assert got[1] == (200, False, True) and got[6] == (0, True, False) and got[8] == (2, True, False)
