@@ -36,7 +36,7 @@ STAGES = [
     ("packing", packed_sequences),
 ]
 
-# Token ids and the curve have no SQL form; the stages are tested against plain Python.
+# Token ids and the curve have no SQL form; the near-duplicate stage is tested against plain Python in tests/llm.
 ORACLE_SQL = None
 
 

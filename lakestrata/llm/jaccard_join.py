@@ -19,8 +19,9 @@ COMMON = 1 << 16  # common shingles whose order is known; any order gives the sa
 
 
 def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = SHINGLE) -> DataFrame:
-    """id and ``s``: the sorted distinct hashes of its shingles; a text without words has none."""
-    rows = docs.select(F.col(doc_id).alias("id"), word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh"))
+    """id, ``th`` (hash of the text) and ``s``: the sorted distinct hashes of its shingles; without words none."""
+    body = F.xxhash64(text_or_empty(F.col(text))).alias("th")
+    rows = docs.select(F.col(doc_id).alias("id"), body, word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh"))
 
     @F.pandas_udf("array<long>")
     def sets(hashes: pd.Series) -> pd.Series:
@@ -30,7 +31,7 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
 
         return hashes.map(one)
 
-    return rows.select("id", sets("wh").alias("s"))
+    return rows.select("id", "th", sets("wh").alias("s"))
 
 
 def common_shingles(sets: DataFrame) -> np.ndarray:
@@ -139,24 +140,26 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return nodes.join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def linked_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles and component_id, the smallest id reachable by links.
+def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: id, th, n_shingles, component_id (the smallest id reachable by links) and ``first``.
 
-    Equal sets become one representative first.  Each tile's members are compared with its smallest one; tiles
+    Equal sets become one node first, whatever their ids, so different texts of one id are placed each by its own
+    words; ``first`` marks the text that stands for its component.  Each tile's members are compared with its smallest one; tiles
     that this leaves in several components compare all members outside their largest component with all of
     another component, so every pair that could still join two components is tested.  Null and empty texts
-    link with nothing; repeated ids count as one document each; a null id gives itself null.
+    link with nothing and are first; a null id gives itself null and is first.
     """
     sets = stored(shingle_sets(docs, text, doc_id), "sets")
     size, key = F.size("s").cast("long"), F.struct(F.size("s"), F.xxhash64("s"), F.hash("s"))
-    member = sets.select("id", size.alias("n_shingles"), key.alias("k"))
+    member = sets.select("id", "th", size.alias("n_shingles"), key.alias("k"))
     filled = member.where("n_shingles > 0 and id is not null")
-    heads = stored(filled.groupBy("k").agg(F.min("id").alias("rep")), "heads")
+    least = filled.groupBy("k").agg(F.min(F.struct("id", "th")).alias("rep"))
+    heads = stored(least.withColumn("node", F.monotonically_increasing_id()), "heads")  # numbers fixed by the write
     reps = stored(
         sets.where("size(s) > 0")
-        .join(heads.withColumnRenamed("rep", "id").select("id", "k"), "id")
-        .where(key == F.col("k"))
-        .select("id", "s")
+        .withColumn("k", key)
+        .join(heads.select(F.col("rep.id").alias("id"), "k", "node"), ["id", "k"])
+        .select(F.col("node").alias("id"), "s")
         .dropDuplicates(["id"]),
         "representatives",
     )
@@ -183,15 +186,30 @@ def linked_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     second = verified(cross, reps)
     star = comp.where("comp <> id").select(F.col("comp").alias("a"), F.col("id").alias("b"))
     final = components(nodes, star.union(second))
-    rep_comp = heads.join(final.withColumnRenamed("id", "rep"), "rep").select("k", "comp")
-    joined = member.join(rep_comp, "k", "left")
-    lone = F.col("n_shingles") == 0
+    placed = heads.join(final.withColumnRenamed("id", "node"), "node")
+    chosen = placed.groupBy("comp").agg(F.min(F.struct("rep", "k")).alias("chosen"))
+    texts = placed.join(chosen, "comp").select("k", "chosen")
+    joined = member.join(texts, "k", "left")
+    lone = (F.col("n_shingles") == 0) | F.col("id").isNull()
     return joined.select(
-        "id", "n_shingles", F.when(lone | F.col("id").isNull(), F.col("id")).otherwise(F.col("comp")).alias("component_id")
+        "id",
+        "th",
+        "n_shingles",
+        F.when(lone, F.col("id")).otherwise(F.col("chosen.rep.id")).alias("component_id"),
+        (lone | (F.struct("id", "th") == F.col("chosen.rep"))).alias("first"),
     )
 
 
+def linked_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles and component_id, the smallest id reachable by links."""
+    return grouped(docs, text, doc_id).select("id", "n_shingles", "component_id")
+
+
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents whose id is that of their component: one of each group stays, clean ones all stay."""
-    found = linked_components(docs).where("id = component_id").select(F.col("id").alias("__keep")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__keep")).select(*docs.columns)
+    """The documents without those that another text of their component stands for: clean ones all stay.
+
+    Rows of one id and one text are one document and stay or go together; a null id always stays.
+    """
+    others = grouped(docs).where(~F.col("first")).select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text_or_empty(F.col("text"))) == F.col("__th"))
+    return docs.join(others, same, "left_anti")

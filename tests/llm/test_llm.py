@@ -77,6 +77,37 @@ def test_jaccard_components(docs):
     assert got[6] == (0, 6) and got[7] == (0, 7) and got[8][0] == 1
 
 
+def test_near_duplicate_stage_equals_brute_force(spark):
+    """Null ids stay, and two texts under one id are placed each by its own words."""
+    from corpus_pipeline import near_duplicates
+
+    a, b, c = run_of(300, 120), run_of(301, 120), run_of(302, 120)
+    edited = lambda text: text.replace(text.split(" ")[60], "changed", 1)
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, edited(a)), (5, edited(b)), (6, c), (6, edited(c)), (7, c + " "),
+            (None, run_of(303, 60)), (None, None), (None, a), (8, ""), (8, None), (9, run_of(304, 80))]
+
+    def shingles(text):
+        words = (text or "").split()
+        n = min(5, len(words)) or 1
+        return frozenset(tuple(words[k : k + n]) for k in range(len(words) - n + 1)) if words else frozenset()
+
+    known = [r for r in rows if r[0] is not None and shingles(r[1])]
+    group = list(range(len(known)))
+    for _ in known:
+        for i, (_, x) in enumerate(known):
+            for j, (_, y) in enumerate(known):
+                sx, sy = shingles(x), shingles(y)
+                if len(sx & sy) * 100 >= 80 * len(sx | sy):
+                    group[i] = group[j] = min(group[i], group[j])
+    got = [tuple(r) for r in near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    alone = [r for r in rows if r not in known]
+    assert sorted(map(str, (r for r in got if r not in known))) == sorted(map(str, alone))
+    kept = [r for r in got if r in known]
+    assert len(kept) == len(set(group)) == len({group[known.index(r)] for r in kept})
+    for r in kept:
+        assert r[0] == min(k[0] for k, g in zip(known, group) if g == group[known.index(r)])
+
+
 def test_decontamination_finds_copies_and_edits(spark, docs):
     item = run_of(4, 40).split(" ")
     item[20] = "other"
