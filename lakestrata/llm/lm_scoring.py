@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm.common import lower_ascii, shared_path, stored, text_or_empty, word_hashes
 
-ORDER = 2
+ORDER = 3
 START, END = -1, 1  # hashes of the marks; a word has either value with a chance of 2**-63
 
 

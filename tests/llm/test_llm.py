@@ -145,6 +145,50 @@ def test_decontamination_equals_brute_force_alignment(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
 
 
+def test_language_model_equals_plain_kneser_ney(spark):
+    """The registered order scores every token with its full context, as a plain interpolated model does."""
+    from collections import Counter
+
+    from lakestrata.llm import lm_scoring
+
+    order = lm_scoring.ORDER
+    assert order >= 3
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 6, 30)) for _ in range(30)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("doc_id") < 20).collect()}
+    marked = [["<s>"] * (order - 1) + t.split() + ["</s>"] for t in texts]
+    counts = {order: Counter(tuple(t[i : i + order]) for t in marked[:20] for i in range(len(t) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])  # distinct left neighbours
+    cut = {}
+    for k, c in counts.items():
+        n1, n2, n3, n4 = (sum(v == x for v in c.values()) for x in (1, 2, 3, 4))
+        d = [0.5] * 3
+        if n1 and n2:
+            y = n1 / (n1 + 2 * n2)
+            raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+            d = [min(max(v, 0.05), x - 0.05) for v, x in zip(raw, (1, 2, 3))]
+        cut[k] = {g: d[min(v, 3) - 1] for g, v in c.items()}
+    vocabulary = len({w for t in marked[:20] for w in t[order - 1 :]})
+    total, left = {}, {}
+    for k in counts:
+        for g, v in counts[k].items():
+            total[g[:-1]] = total.get(g[:-1], 0) + v
+            left[g[:-1]] = left.get(g[:-1], 0) + cut[k][g]
+
+    def rate(gram):
+        lower = rate(gram[1:]) if len(gram) > 1 else 1 / (vocabulary + 1)
+        if gram[:-1] not in total:
+            return lower
+        mass = counts[len(gram)].get(gram, 0) - cut[len(gram)].get(gram, 0)
+        return (mass + left[gram[:-1]] * lower) / total[gram[:-1]]
+
+    for k, t in enumerate(marked):
+        plain = sum(np.log10(rate(tuple(t[i - order + 1 : i + 1]))) for i in range(order - 1, len(t)))
+        assert abs(got[k] - plain) < 1e-6
+
+
 def test_quality_keeps_clean_documents(docs):
     got = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in quality_rules.judge(docs).collect()}
     assert got[1] == (200, False, True) and got[6] == (0, True, False) and got[8] == (2, True, False)
