@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,6 @@ def test_flagship(spark, sf_dir):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, sf_dir, connection, name):
-    assert differences(spark, connection, name, sf_dir) == []
+    assert differences(spark, connection, QUERIES[name], ORACLES[name], sf_dir) == []
