@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakestrata.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, substring_dedup, token_counts, token_ids, url_filter
-from lakestrata.llm.common import table, tokenizer_file
+from lakestrata.llm import decontamination, hard_negatives, jaccard_join, license_scan, lm_scoring, merkle_manifest, packing, quality_rules, substring_dedup, token_counts, token_ids, topk_search, url_filter
+from lakestrata.llm.common import lower_ascii, table, tokenizer_file
 
 
 RULES = [  # fixed values
@@ -75,6 +75,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = merkle_manifest.manifest(
+        table(spark, sf_dir, "documents"), columns, {"text": lower_ascii(F.col("text"))}, tampered
+    )
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -86,7 +104,15 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_topk_search": op12_topk_search,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op5_license_scan": license_scan.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_license_scan": license_scan.ORACLE,
+    "op11_merkle_manifest": merkle_manifest.oracle(),
+    "op12_topk_search": topk_search.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
+}
