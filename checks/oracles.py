@@ -204,14 +204,17 @@ LEFT JOIN ({DIM_MEMBER}) AS m ON c.member_id = m.member_id
 LEFT JOIN ({DIM_PROVIDER}) AS p ON c.provider_id = p.provider_id"""
 
 
-def _fact_payment(checked: str, linked: bool) -> str:
-    ids = {
-        "claim_line_id": "CAST(NULL AS STRING)",
-        "member_id": "CAST(NULL AS STRING)",
-        "provider_id": "CAST(NULL AS STRING)",
-    }
-    value = {name: f"p.{name}" if linked else sql for name, sql in ids.items()}
-    on = {name: f"p.{name}" if linked else "NULL" for name in ids}
+_LINED = f"""SELECT *, count(*) OVER (PARTITION BY claim_id) AS lines
+  FROM ({FACT_CLAIM}) AS l"""
+
+
+def _fact_payment(checked: str, ids: str) -> str:
+    """``ids`` says where line, member and provider come from: absent, linked or by_claim."""
+    id_columns = ("claim_line_id", "member_id", "provider_id")
+    column = {"absent": "CAST(NULL AS STRING)", "linked": "p.{}", "by_claim": "s.{}"}[ids]
+    value = {name: column.format(name) for name in id_columns}
+    on = {name: "NULL" if ids == "absent" else value[name] for name in id_columns}
+    single = f"LEFT JOIN ({_LINED}) AS s ON s.claim_id = p.claim_id AND s.lines = 1" if ids == "by_claim" else ""
     return f"""SELECT p.payment_id, c.claim_sk, m.member_sk, r.provider_current_sk, p.claim_id,
   {value["claim_line_id"]} AS claim_line_id, {value["member_id"]} AS member_id,
   {value["provider_id"]} AS provider_id, CAST(NULL AS STRING) AS payer_id, p.payment_amount,
@@ -225,14 +228,22 @@ def _fact_payment(checked: str, linked: bool) -> str:
   CASE WHEN p.payment_status = 'ON_HOLD' THEN 1 ELSE 0 END AS on_hold_flag,
   row_number() OVER (ORDER BY p.payment_id ASC NULLS LAST) AS payment_sk
 FROM ({having(checked, 'valid')}) AS p
+{single}
 LEFT JOIN ({FACT_CLAIM}) AS c
   ON p.claim_id = c.claim_id AND c.claim_line_id = {on["claim_line_id"]}
 LEFT JOIN ({DIM_MEMBER}) AS m ON m.member_id = {on["member_id"]}
 LEFT JOIN ({DIM_PROVIDER}) AS r ON r.provider_id = {on["provider_id"]}"""
 
 
-FACT_PAYMENT = _fact_payment(PAYMENTS_CHECKED, linked=False)
-FACT_LINKED_PAYMENT = _fact_payment(LINKED_PAYMENTS_CHECKED, linked=True)
+FACT_PAYMENT = _fact_payment(PAYMENTS_CHECKED, "absent")
+FACT_LINKED_PAYMENT = _fact_payment(LINKED_PAYMENTS_CHECKED, "linked")
+FACT_PAYMENT_BY_CLAIM = _fact_payment(PAYMENTS_CHECKED, "by_claim")
+
+FACT_CLAIM_TEXT_KEYS = f"""SELECT * REPLACE (
+    CASE WHEN member_id % 3 = 0 THEN NULL ELSE member_sk END AS member_sk,
+    CASE WHEN member_id % 3 = 0 THEN 'abc' ELSE CAST(member_id AS STRING) END AS member_id,
+    CAST(provider_id AS STRING) AS provider_id)
+FROM ({FACT_CLAIM}) AS f"""
 
 _TRACKED = (
     "specialty, network_flag, address_line1, city, state, provider_status, source_delete_flag"

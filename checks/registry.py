@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracles as sql
-from checks.scratch import shared_folder
 from checks.views import BATCH, VIEWS, row_count, spread_table, table
 from lakestrata.operators.conform import Field, conform, day, flag, moment, number
 from lakestrata.operators.history import HASH, build_versions
@@ -27,6 +26,7 @@ from lakestrata.plans.domains import (
 )
 from lakestrata.plans.silver import refine
 from lakestrata.sources.landing import LINEAGE, add_lineage
+from lakestrata.sources.scratch import shared_folder
 from lakestrata.sources.store import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ class Lake:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        for name in ("view", "checked", "members", "providers", "claims", "stored_claims"):
+        for name in ("view", "checked", "members", "providers", "claims"):
             setattr(self, name, cache(getattr(self, name)))
 
     def view(self, name: str) -> DataFrame:
@@ -61,37 +61,33 @@ class Lake:
         return refine(self.view(view), DOMAINS[view.removeprefix("linked_")])
 
     def members(self) -> DataFrame:
-        return core.member_dimension(self.checked("members").valid, **self.at_most("customer"))
+        return core.member_dimension(self.checked("members").valid)
 
     def providers(self) -> DataFrame:
-        return core.provider_dimension(self.checked("providers").valid, **self.at_most("supplier"))
+        return core.provider_dimension(self.checked("providers").valid)
 
     def claims(self) -> DataFrame:
-        dims = self.members(), self.providers()
-        return core.claim_fact(self.checked("claims").valid, *dims, **self.at_most("lineitem"))
+        return core.claim_fact(self.checked("claims").valid, self.members(), self.providers())
 
-    def stored_claims(self) -> DataFrame:
-        """The claim fact as a written table, for queries that read it more than once."""
-        store = LayerStore(self.spark, shared_folder(self.spark))
-        store.write(self.claims(), "fact_claim")
-        return store.read("fact_claim")
+    def claim_measures(self) -> DataFrame:
+        return core.claim_measures(self.checked("claims").valid)
 
-    def payments(self, view: str = "linked_payments", stored: bool = False) -> DataFrame:
-        claims = self.stored_claims() if stored else self.claims()
-        dims = self.members(), self.providers(), claims
-        return core.payment_fact(self.checked(view).valid, *dims, **self.at_most("orders"))
+    def payments(self, view: str = "linked_payments", **options) -> DataFrame:
+        dims = self.members(), self.providers(), self.claims()
+        return core.payment_fact(self.checked(view).valid, *dims, **options)
 
-    def versions(self, view: str = "provider_history", **sizing) -> DataFrame:
-        source = "events" if view == "provider_history" else "supplier"
-        return history.provider_versions(self.view(view), **(sizing or self.at_most(source)))
+    def payment_measures(self) -> DataFrame:
+        return core.payment_measures(self.checked("linked_payments").valid)
+
+    def versions(self, view: str = "provider_history", ranges: int | None = None) -> DataFrame:
+        return history.provider_versions(self.view(view), ranges=ranges)
 
     def current_providers(self) -> DataFrame:
         return history.current_providers(self.versions("providers"))
 
-    def at_most(self, name: str) -> dict[str, int]:
-        """Row bound for a view of the table: two batches hold a row at most twice."""
-        batches = 1 if name == "lineitem" else 2
-        return {"rows_at_most": batches * row_count(self.spark, self.sf_dir, name)}
+    def ranges(self, name: str) -> int:
+        """Enough ranges that each holds few rows of the table."""
+        return max(2, -(-row_count(self.spark, self.sf_dir, name) // SMALL_RANGE))
 
 
 def _on_lake(build: Callable[[Lake], DataFrame]) -> Query:
@@ -180,10 +176,24 @@ def _line_keys(lake: Lake) -> DataFrame:
         *[name for name in (*_LINE_ORDER, *_LINE_TIES) if name != "l_suppkey"],
     )
     return add_surrogate_key(
-        lines, _LINE_ORDER, "line_sk", ties=_LINE_TIES, rows_per_range=SMALL_RANGE
+        lines, _LINE_ORDER, "line_sk", ties=_LINE_TIES, ranges=lake.ranges("lineitem")
+    )
+
+
+def _repeated_keys(lake: Lake) -> DataFrame:
+    """Every second line has the same key; the ties tell the lines apart."""
+    lines = spread_table(lake.spark, lake.sf_dir, "lineitem").select(
+        F.when(F.col("l_partkey") % 2 == 0, F.col("l_suppkey")).otherwise(0).alias("shared_key"), *_LINE_TIES
+    )
+    return add_surrogate_key(
+        lines, ["shared_key"], "line_sk", ties=_LINE_TIES, ranges=lake.ranges("lineitem")
     )
 
 
+_REPEATED_KEYS_SQL = f"""SELECT *, row_number() OVER (ORDER BY shared_key, {", ".join(_LINE_TIES)}) AS line_sk
+FROM (SELECT CASE WHEN l_partkey % 2 = 0 THEN l_suppkey ELSE 0 END AS shared_key, {", ".join(_LINE_TIES)}
+  FROM lineitem) AS s"""
+
 _LINE_KEYS_SQL = f"""SELECT * EXCLUDE (shipped), CAST(shipped AS STRING) AS l_shipdate FROM (
   SELECT * EXCLUDE (l_shipdate), l_shipdate AS shipped, row_number() OVER (ORDER BY
     {", ".join(f"{c} ASC NULLS LAST" for c in (*_LINE_ORDER, *_LINE_TIES))}) AS line_sk
@@ -191,6 +201,14 @@ _LINE_KEYS_SQL = f"""SELECT * EXCLUDE (shipped), CAST(shipped AS STRING) AS l_sh
     {", ".join(_LINE_TIES)} FROM lineitem) AS s) AS k"""
 
 
+def _text_keys(lake: Lake) -> DataFrame:
+    """Claims whose member ids are text, some of it no number, against dimensions keyed by number."""
+    member = F.when(F.col("member_id") % 3 == 0, "abc").otherwise(F.col("member_id").cast("string"))
+    claims = lake.checked("claims").valid.withColumn("member_id", member)
+    provider = F.col("provider_id").cast("string")
+    return core.claim_fact(claims.withColumn("provider_id", provider), lake.members(), lake.providers())
+
+
 def _change_rows(lake: Lake) -> DataFrame:
     rows = build_versions(
         history.provider_history(lake.view("provider_history")),
@@ -199,7 +217,7 @@ def _change_rows(lake: Lake) -> DataFrame:
         tracked=PROVIDER_TRACKED,
         ties=[BATCH, "record_hash"],
         version_key="sk",
-        rows_per_range=SMALL_RANGE,
+        ranges=lake.ranges("events"),
     )
     return rows.select("provider_id", "updated_at", "record_hash", HASH)
 
@@ -338,27 +356,30 @@ QUERIES: dict[str, Query] = {
     "fact_claim": _on_lake(Lake.claims),
     "fact_payment": _on_lake(lambda lake: lake.payments("payments")),
     "fact_payment_linked": _on_lake(Lake.payments),
+    "fact_payment_by_claim": _on_lake(lambda lake: lake.payments("payments", resolve_by_claim=True)),
+    "fact_claim_text_keys": _on_lake(_text_keys),
     "surrogate_key_distributed": _on_lake(_line_keys),
+    "surrogate_key_repeated_keys": _on_lake(_repeated_keys),
     "scd2_dedup_history": _on_lake(_distinct_history),
     "scd2_change_rows": _on_lake(_change_rows),
     "scd2_history": _on_lake(Lake.versions),
-    "scd2_history_in_ranges": _on_lake(lambda lake: lake.versions(rows_per_range=SMALL_RANGE)),
+    "scd2_history_in_ranges": _on_lake(lambda lake: lake.versions(ranges=lake.ranges("events"))),
     "scd2_current": _on_lake(lambda lake: history.current_providers(lake.versions())),
-    "mart_claim_cost_by_month": _on_lake(lambda lake: marts.claim_cost_by_month(lake.claims())),
+    "mart_claim_cost_by_month": _on_lake(lambda lake: marts.claim_cost_by_month(lake.claim_measures())),
     "mart_denial_analysis": _on_lake(
-        lambda lake: marts.denial_analysis(lake.stored_claims(), lake.current_providers())
+        lambda lake: marts.denial_analysis(lake.claim_measures(), lake.current_providers())
     ),
     "mart_provider_performance": _on_lake(
         lambda lake: marts.provider_performance(
-            lake.stored_claims(), lake.payments(stored=True), lake.current_providers()
+            lake.claim_measures(), lake.payment_measures(), lake.current_providers()
         )
     ),
     "mart_member_utilization": _on_lake(
         lambda lake: marts.member_utilization(
-            lake.stored_claims(), lake.payments(stored=True), lake.members()
+            lake.claim_measures(), lake.payment_measures(), lake.members()
         )
     ),
-    "mart_claim_turnaround": _on_lake(lambda lake: marts.claim_turnaround(lake.claims())),
+    "mart_claim_turnaround": _on_lake(lambda lake: marts.claim_turnaround(lake.claim_measures())),
     "stored_layer_counts": _stored_layers,
 }
 
@@ -405,7 +426,10 @@ ORACLES: dict[str, str] = {
     "fact_claim": sql.FACT_CLAIM,
     "fact_payment": sql.FACT_PAYMENT,
     "fact_payment_linked": sql.FACT_LINKED_PAYMENT,
+    "fact_payment_by_claim": sql.FACT_PAYMENT_BY_CLAIM,
+    "fact_claim_text_keys": sql.FACT_CLAIM_TEXT_KEYS,
     "surrogate_key_distributed": _LINE_KEYS_SQL,
+    "surrogate_key_repeated_keys": _REPEATED_KEYS_SQL,
     "scd2_dedup_history": (
         f"SELECT {_HISTORY_COLUMNS} FROM ({sql.distinct_history('provider_history')}) AS d"
     ),

@@ -48,10 +48,25 @@ def rounded(value: Column) -> Column:
     return F.round(value, 2)
 
 
-def money_mean(amount: Column) -> Column:
-    """Average of an amount to two decimals.
+# Fixed value: amounts are added as decimals of this type, so no order of adding changes a total.
+EXACT = "decimal(24, 6)"
+
 
-    The sum is settled at six decimals first: adding doubles in another order
-    changes their last bits, which could tip an average that lies on a half cent.
+def money_total(amount: Column) -> Column:
+    """Exact total of an amount, to two decimals, as double.
+
+    Amounts that the decimal cannot hold (not a number, infinite, 18 digits and
+    more before the point) make it a plain sum of doubles.
     """
-    return rounded(F.try_divide(F.round(F.sum(amount), 6), F.count(amount)))
+    return rounded(_settled(amount))
+
+
+def money_mean(amount: Column) -> Column:
+    """Average of an amount to two decimals, from its exact total."""
+    return rounded(F.try_divide(_settled(amount), F.count(amount)))
+
+
+def _settled(amount: Column) -> Column:
+    exact = amount.try_cast(EXACT)
+    total = F.try_sum(exact).cast("double")
+    return F.when(F.count(exact) == F.count(amount), total).otherwise(F.sum(amount))

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.columns import row_digest
-from lakestrata.operators.ranges import (
-    RANGE,
-    ROWS_PER_RANGE,
-    RangeSplit,
-    ascending,
-    split_ranges,
-)
+from lakestrata.operators.ranges import PLACE, RANGE, ROW, ascending, in_order, inside, with_row_numbers
 
 HASH = "change_hash"
 
@@ -37,8 +31,7 @@ def build_versions(
     tracked: Sequence[str],
     ties: Sequence[str],
     version_key: str,
-    rows_at_most: int | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Versions of every entity with validity interval and a dense version key.
 
@@ -47,37 +40,40 @@ def build_versions(
     ``effective_to`` (``at`` of the next version, null while open) and
     ``version_key`` (1..N by key, time, ties).
 
+    The full rows are written once with a row number.  Which of them are
+    versions is settled on the ordering and tracked columns alone, and the
+    full rows shuffle once, when the versions fetch them by that number.
     An entity may own any share of the history, so nothing is windowed per
-    entity: rows are cut into ranges over (key, time, ties) and the few facts
-    that cross a range border are carried in a table with one row per range.
+    entity: the narrow rows are put in order over (key, time, ties) and the few
+    facts that cross a border between ranges are carried in a table with one
+    row per range.  The writing runs when called.
     """
-    order = [key, at, *ties]
-    split = split_ranges(df, order, rows_at_most=rows_at_most, rows_per_range=rows_per_range)
-    rows = drop_repeats(df, [key, at, *tracked], ties).withColumn(HASH, row_digest(tracked))
-    compared = _compare_neighbours(split.tag(rows), key, split)
-
-    if split.count == 1:
-        kept = compared.where("_changed")
-        following, offset = F.lit(None), F.lit(0)
-    else:
-        borders = _borders(compared, key, at)
-        # One row per range and the range count is capped, so this stays small.
-        kept = compared.join(F.broadcast(borders), RANGE).where(
-            F.when(F.col("_opens"), F.col("_first_changed")).otherwise(F.col("_changed"))
-        )
-        following, offset = F.col("_following"), F.col("_offset")
-
+    rows = with_row_numbers(df, "history")
+    needed = dict.fromkeys([key, at, *tracked, *ties, ROW])
+    single = drop_repeats(rows.select(*needed), [key, at, *tracked], [*ties, ROW])
+    narrow = single.select(*dict.fromkeys([key, at, *ties, ROW]), row_digest(tracked).alias(HASH))
+    placed = in_order(narrow, [key, at, *ties, ROW], unique=True, ranges=ranges)
+    compared = _compare_neighbours(placed, key)
+
+    # One row per range; Spark decides how to join it.
+    kept = compared.join(_borders(compared, key, at), RANGE).where(
+        F.when(F.col("_opens"), F.col("_first_changed")).otherwise(F.col("_changed"))
+    )
     pair = F.struct(F.col(key).alias("key"), F.col(at).alias("at"))
-    successor = F.coalesce(F.lead(pair).over(split.window), following.cast(_pair_type(df, key, at)))
-    number = F.row_number().over(split.window).cast("bigint") + offset
-    return (
-        kept.withColumn("_next", successor)
-        .withColumn(version_key, number)
-        .withColumn("effective_from", F.col(at))
-        .withColumn("effective_to", F.when(F.col("_next.key") == F.col(key), F.col("_next.at")))
-        .drop("_next", "_row", "_changed", "_opens", "_first_changed", "_following", "_offset")
-        .drop(RANGE)
+    following = F.col("_following").cast(_pair_type(df, key, at))
+    versions = kept.select(
+        ROW,
+        HASH,
+        F.col(key).alias("_key"),
+        F.coalesce(F.lead(pair).over(inside()), following).alias("_next"),
+        (F.row_number().over(inside()).cast("bigint") + F.col("_offset")).alias(version_key),
+    ).select(
+        ROW,
+        HASH,
+        version_key,
+        F.when(F.col("_next.key") == F.col("_key"), F.col("_next.at")).alias("effective_to"),
     )
+    return rows.join(versions, ROW).drop(ROW).withColumn("effective_from", F.col(at))
 
 
 def _pair_type(df: DataFrame, key: str, at: str) -> str:
@@ -85,13 +81,12 @@ def _pair_type(df: DataFrame, key: str, at: str) -> str:
     return f"struct<key:{kinds[key]},at:{kinds[at]}>"
 
 
-def _compare_neighbours(tagged: DataFrame, key: str, split: RangeSplit) -> DataFrame:
+def _compare_neighbours(placed: DataFrame, key: str) -> DataFrame:
     """Mark rows that open their range and rows that differ from the row before."""
     here = F.struct(F.col(key).alias("key"), F.col(HASH).alias("hash"))
-    before = F.lag(here).over(split.window)
+    before = F.lag(here).over(inside())
     return (
-        tagged.withColumn("_before", before)
-        .withColumn("_row", F.row_number().over(split.window))
+        placed.withColumn("_before", before)
         .withColumn("_opens", F.col("_before").isNull())
         .withColumn("_changed", _differs(F.col("_before"), F.col(key), F.col(HASH)))
         .drop("_before")
@@ -112,12 +107,12 @@ def _borders(compared: DataFrame, key: str, at: str) -> DataFrame:
     """
     pair = F.struct(F.col(key).alias("key"), F.col(at).alias("at"))
     row = F.struct(F.col(key).alias("key"), F.col(at).alias("at"), F.col(HASH).alias("hash"))
-    inside = F.col("_changed") & ~F.col("_opens")
+    later_change = F.col("_changed") & ~F.col("_opens")
     per_range = compared.groupBy(RANGE).agg(
-        F.min_by(row, "_row").alias("first"),
-        F.max_by(row, "_row").alias("last"),
-        F.min_by(pair, F.when(inside, F.col("_row"))).alias("inner"),
-        F.count_if(inside).alias("inner_count"),
+        F.min_by(row, PLACE).alias("first"),
+        F.max_by(row, PLACE).alias("last"),
+        F.min_by(pair, F.when(later_change, F.col(PLACE))).alias("inner"),
+        F.count_if(later_change).alias("inner_count"),
     )
     by_range = Window.orderBy(RANGE)
     earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)

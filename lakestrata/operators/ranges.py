@@ -1,131 +1,78 @@
-"""Cut a dataset into ordered ranges of bounded size.
+"""Put a dataset into one total order that lives in files.
 
 Some results depend on the total order of all rows: a dense key 1..N, or the
 previous and next version of an entity that may own a large part of the data.
-A window over that order would run in one task.  Here the order is cut at
-sampled split points instead.  The range of a row is a pure function of its
-ordering columns, so separate passes, retried tasks and lost executors all
-agree on it, and nothing has to be cached or written to make it stable.
+A window over that order would run in one task.  Here Spark's range partitioner
+deals the rows to ordered ranges, each task sorts its own, and the rows are
+written with their places.  Everything later reads those places, so passes,
+retried tasks and lost executors all agree on them.
+
+The partitioner cuts at a sample of bounded size (its own setting,
+``spark.sql.execution.rangeExchange.sampleSizePerPartition`` rows per range).
+The order ends in a column that differs from row to row, so a value on any
+share of the rows is parted like any other.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lakestrata.sources.scratch import written
 
 RANGE = "_range"
+PLACE = "_place"
+ROW = "_row"
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 20_000
-SAMPLES_PER_RANGE = 40
+# Fixed value: a generated row number holds its task above this many bits.
+TASK_BITS = 33
 
 
 def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in columns]
 
 
-@dataclass(frozen=True)
-class RangeSplit:
-    """Ranges 0..count-1 over ``order``; every row of a range precedes the next range.
+def with_row_numbers(df: DataFrame, what: str) -> DataFrame:
+    """The rows, written with ``_row``, a number that tells even equal rows apart."""
+    return written(df.withColumn(ROW, F.monotonically_increasing_id()), what)
+
 
-    ``cuts`` are the sorted split points as decoded JSON and ``cut_type`` their
-    Spark type: a struct with a null mark and a value per ordering column.
+def in_order(
+    df: DataFrame, order: Sequence[str], *, unique: bool = False, ranges: int | None = None
+) -> DataFrame:
+    """The rows, written in the order of ``order`` (nulls last), with ``_range`` and ``_place``.
+
+    Ranges and the places inside them ascend with the order.  ``unique`` says
+    that no two rows agree on all of ``order``; otherwise rows are numbered and
+    written first, and the number is the last tie.  ``ranges`` fixes their
+    number; by default it is the session's number of shuffle partitions, of
+    which adaptive execution joins small neighbours.  Runs when called.
     """
+    if not unique:
+        df = with_row_numbers(df, "numbered")
+        order = [*order, ROW]
+    by = ascending(order)
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    placed = dealt.sortWithinPartitions(*by).withColumn(PLACE, F.monotonically_increasing_id())
+    rows = written(placed, "ordered").withColumn(RANGE, F.shiftright(PLACE, TASK_BITS))
+    return rows if unique else rows.drop(ROW)
+
+
+def inside(window_of: str = PLACE):
+    """Window over the rows of one range in their order."""
+    return Window.partitionBy(RANGE).orderBy(window_of)
+
+
+def range_starts(rows: DataFrame) -> DataFrame:
+    """``_range`` and ``_start``, the number of rows before the range.
 
-    count: int
-    order: tuple[str, ...]
-    cuts: tuple = ()
-    cut_type: T.DataType | None = None
-
-    @property
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(RANGE).orderBy(*ascending(self.order))
-
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add the range number, which is how many cuts are at or before the row.
-
-        A binary search written as one expression per halving step, each on the
-        cuts of its own level, so that all of it compiles into one generated
-        loop and the plan holds every cut once.
-        """
-        if not self.cuts:
-            return df.withColumn(RANGE, F.lit(0))
-        df = df.withColumn("_at", _position(self.order).cast(self.cut_type))
-        df = df.withColumn(RANGE, F.lit(0))
-        for level in reversed(range(len(self.cuts).bit_length())):
-            step = 1 << level
-            cuts = self._literal(self.cuts[step - 1 :: 2 * step])
-            # Past the last cut of a level, get() is null and the step is not taken.
-            passed = F.coalesce(F.get(cuts, F.col(RANGE)) <= F.col("_at"), F.lit(False))
-            df = df.withColumn(RANGE, F.col(RANGE) * 2 + passed.cast("int"))
-        return df.drop("_at")
-
-    def _literal(self, cuts: Sequence) -> Column:
-        text = json.dumps(cuts, ensure_ascii=False)
-        return F.from_json(F.lit(text), T.ArrayType(self.cut_type), _JSON_OPTIONS)
-
-
-def split_ranges(
-    df: DataFrame,
-    order: Sequence[str],
-    *,
-    rows_at_most: int | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
-    max_ranges: int = MAX_RANGES,
-) -> RangeSplit:
-    """Choose split points so that ranges hold about ``rows_per_range`` rows.
-
-    ``rows_at_most`` is any upper bound on the row count, such as the size of
-    the table ``df`` was filtered from; without it the rows are counted.  Up to
-    ``rows_per_range`` rows need no split.  Otherwise one pass over the ordering
-    columns keeps a hash-chosen sample of about ``SAMPLES_PER_RANGE`` rows per
-    range, and only the split points come to the driver.
-
-    Ranges are cut on the full tuple of ordering columns, so append tie-breaking
-    columns to ``order`` where leading columns repeat a lot.  ``df`` is read in
-    several passes and must hold the same rows in each.
+    One number per range passes through the driver, which keeps a list of the
+    ranges' tasks anyway.
     """
-    order = tuple(order)
-    total = df.count() if rows_at_most is None else rows_at_most
-    wanted = min(max_ranges, math.ceil(total / rows_per_range))
-    if wanted <= 1:
-        return RangeSplit(1, order)
-
-    one_in = max(1, total // (wanted * SAMPLES_PER_RANGE))
-    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0)
-    positions = sampled.select(_position(order).alias("p"))
-    # The sample is a fixed number per range, whatever the data size.
-    ordered = positions.agg(F.array_sort(F.collect_list("p")).alias("s"))
-    every = F.expr(
-        f"transform(sequence(1, {wanted - 1}), i -> s[cast(i * size(s) div {wanted} as int)])"
-    )
-    text = ordered.select(
-        F.when(F.size("s") > 0, F.to_json(F.array_distinct(every), _JSON_OPTIONS))
-    ).first()[0]
-    cuts = tuple(json.loads(text)) if text else ()
-    return RangeSplit(len(cuts) + 1, order, cuts, _nullable(positions.schema["p"].dataType))
-
-
-def _nullable(point: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(part.name, part.dataType) for part in point])
-
-
-_JSON_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "ignoreNullFields": "false",
-}
-
-
-def _position(order: Sequence[str]) -> Column:
-    """Comparable tuple of the ordering columns, nulls after all values."""
-    parts = []
-    for i, name in enumerate(order):
-        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
+    held = sorted(rows.groupBy(RANGE).count().collect())
+    starts = accumulate((count for _, count in held), initial=0)
+    table = [(number, start) for (number, _), start in zip(held, starts)]
+    return rows.sparkSession.createDataFrame(table, f"{RANGE} bigint, _start bigint")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.operators.ranges import RANGE, ROWS_PER_RANGE, ascending, split_ranges
+from lakestrata.operators.ranges import PLACE, RANGE, TASK_BITS, in_order, range_starts
 
 
 def add_surrogate_key(
@@ -17,30 +16,19 @@ def add_surrogate_key(
     name: str,
     *,
     ties: Sequence[str] = (),
-    rows_at_most: int | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    unique: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Number rows 1..N in the order of ``keys`` (nulls last), then ``ties``.
 
-    Rows are cut into ordered ranges, counted per range in a pass that reads
-    only the ordering columns, and numbered inside each range on top of the
-    counts before it.  The result takes one shuffle of the full rows.
+    Rows are written once in that order; a key is the place inside the range
+    plus the rows of all ranges before it.  At every size the full rows shuffle
+    once and no task sees more than its range.  ``unique`` says that no two
+    rows agree on ``keys`` and ``ties``; rows that do agree are numbered in the
+    order they came in.  The ordering runs when called; the result only reads it.
     """
-    order = [*keys, *ties]
-    split = split_ranges(df, order, rows_at_most=rows_at_most, rows_per_range=rows_per_range)
-    if split.count == 1:
-        return df.withColumn(name, _rank(Window.orderBy(*ascending(order))))
-
-    # One number per range reaches the driver; the range count is capped.
-    held = dict(split.tag(df.select(*order)).groupBy(RANGE).count().collect())
-    before = accumulate((held.get(i, 0) for i in range(split.count)), initial=0)
-    offsets = F.from_json(F.lit(str(list(before))), "array<bigint>")
-    return (
-        split.tag(df)
-        .withColumn(name, _rank(split.window) + F.get(offsets, F.col(RANGE)))
-        .drop(RANGE)
-    )
-
-
-def _rank(window):
-    return F.row_number().over(window).cast("bigint")
+    rows = in_order(df, [*keys, *ties], unique=unique, ranges=ranges)
+    first = F.shiftleft(F.col(RANGE), TASK_BITS)
+    number = F.col(PLACE) - first + F.col("_start") + 1
+    kept = [F.col(f"`{column}`") for column in df.columns]
+    return rows.join(range_starts(rows), RANGE).select(*kept, number.alias(name))

@@ -50,11 +50,11 @@ def distinct_history(history: DataFrame, tracked: Sequence[str] = PROVIDER_TRACK
 
 
 def provider_versions(
-    bronze: DataFrame, *, tracked: Sequence[str] = PROVIDER_TRACKED, **sizing
+    bronze: DataFrame, *, tracked: Sequence[str] = PROVIDER_TRACKED, ranges: int | None = None
 ) -> DataFrame:
     """One row per run of equal tracked attributes, with its validity interval.
 
-    A -> B -> A gives three versions; A -> A gives one.  ``sizing`` is passed on
+    A -> B -> A gives three versions; A -> A gives one.  ``ranges`` is passed on
     to ``build_versions``.
     """
     history = provider_history(bronze)
@@ -65,7 +65,7 @@ def provider_versions(
         tracked=tracked,
         ties=_ties(history),
         version_key="provider_scd2_sk",
-        **sizing,
+        ranges=ranges,
     )
     names = [field.name for field in PROVIDER_HISTORY_COLUMNS if field.name != "updated_at"]
     return versions.select(

@@ -14,6 +14,7 @@ from lakestrata.plans.silver import (
     refine_payments,
     refine_providers,
 )
+from tests.conftest import plan_of
 
 CLAIM = {
     "claim_id": "C1", "claim_line_id": "L1", "member_id": "M1", "provider_id": "P1",
@@ -200,6 +201,40 @@ def test_payment_fact_without_and_with_ids(spark):
     assert (row.claim_sk, row.member_sk, row.provider_current_sk, row.payment_sk) == (1, 1, 1, 1)
 
 
+def test_payments_resolve_through_claims_of_one_line(spark):
+    """C1 has one line, C2 has two; an id that the payment gives itself stays."""
+    members, providers, facts = _core(
+        spark, claims=({}, {"claim_id": "C2"}, {"claim_id": "C2", "claim_line_id": "L2"})
+    )
+    bronze = rows(
+        spark, {**PAYMENT, "claim_line_id": None, "member_id": None},
+        {}, {"payment_id": "Y2", "claim_id": "C2"}, {"payment_id": "Y3", "claim_id": "none"},
+        {"payment_id": "Y4", "member_id": "M9"}, {"payment_id": "Y5", "claim_line_id": "L7"},
+    )
+    silver = refine_payments(bronze).valid
+    resolved = core.payment_fact(silver, members, providers, facts, resolve_by_claim=True)
+    unresolved = core.payment_fact(silver, members, providers, facts)
+    assert resolved.columns == unresolved.columns
+    found = {r.payment_id: (r.claim_line_id, r.member_id, r.claim_sk, r.member_sk) for r in resolved.collect()}
+    first = found.pop(PAYMENT["payment_id"])
+    assert first == ("L1", "M1", 1, 1)
+    assert found == {
+        "Y2": (None, None, None, None), "Y3": (None, None, None, None),
+        "Y4": ("L1", "M9", 1, None), "Y5": ("L7", None, None, None)}
+    assert unresolved.where("claim_sk is not null").count() == 0
+
+
+def test_measures_are_the_facts_without_keys(spark):
+    members, providers, facts = _core(spark, claims=({}, {"claim_line_id": "L2"}))
+    silver = refine_claims(rows(spark, CLAIM, {}, {"claim_line_id": "L2"})).valid
+    measures = core.claim_measures(silver)
+    keys = {"member_sk", "provider_current_sk", "claim_sk", "dw_created_at"}
+    assert set(measures.columns) == set(facts.columns) - keys
+    assert measures.exceptAll(facts.select(*measures.columns)).count() == 0
+    plan = plan_of(measures)
+    assert "Join" not in plan and "rangepartitioning" not in plan
+
+
 def test_provider_versions(spark):
     later = {"updated_at": "2025-12-20 09:30:00", "bronze_batch_id": "batch_002"}
     bronze = rows(

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.columns import (
     indicator,
+    money_mean,
+    money_total,
     name_part,
     percentage,
     row_digest,
@@ -315,3 +317,43 @@ def test_adaptive_execution_splits_a_hot_key(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize(
+    "fact_type, dimension_type, found",
+    [("string", "bigint", 2), ("bigint", "string", 2), ("int", "bigint", 3), ("string", "double", 2), ("double", "string", 2)],
+)
+def test_lookup_aligns_text_and_number_keys(spark, fact_type, dimension_type, found):
+    facts = [("1",), ("2",), ("abc",), (None,)] if fact_type == "string" else [(1,), (2,), (3,), (None,)]
+    keys = [("1",), ("2",), ("x3",), (None,)] if dimension_type == "string" else [(1,), (2,), (3,), (None,)]
+    rows = spark.createDataFrame(facts, "k string" if fact_type == "string" else "k int")
+    dimension = spark.createDataFrame([(*k, i) for i, k in enumerate(keys)], f"k {'string' if dimension_type == 'string' else 'int'}, sk int")
+    rows = rows.select(F.col("k").cast(fact_type), F.monotonically_increasing_id().alias("n"))
+    dimension = dimension.withColumn("k", F.col("k").cast(dimension_type))
+    if fact_type == "double":
+        dimension = dimension.withColumn("k", F.when(F.col("k").isin("1", "2"), F.concat("k", F.lit(".0"))).otherwise(F.col("k")))
+    out = lookup(rows, dimension, ["k"], ["sk"], spread_by=["n"])
+    assert out.count() == 4
+    assert out.where("sk is not null").count() == found
+    assert dict(out.dtypes)["k"] == dict(rows.dtypes)["k"]
+
+
+def test_money_totals_do_not_depend_on_the_order_of_adding(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, 99_999_999_999.01).otherwise(0.01).alias("amount"), (F.col("id") % 3).alias("g"), "id"
+    )
+    seen = set()
+    for layout in (rows.repartition(7, "id"), rows.orderBy(F.desc("amount")).coalesce(1), rows.orderBy("amount").coalesce(2)):
+        totals = layout.groupBy("g").agg(money_total(F.col("amount")).alias("t"), money_mean(F.col("amount")).alias("m"))
+        seen.add(tuple(sorted((r.g, r.t, r.m) for r in totals.collect())))
+    assert len(seen) == 1
+    (first, *_), = seen
+    assert first[1] == 49999999999510.0
+
+
+def test_money_totals_of_amounts_beyond_the_decimal(spark):
+    rows = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "amount double")
+    assert str(rows.agg(money_total(F.col("amount"))).first()[0]) == "nan"
+    rows = spark.createDataFrame([(1e25,), (1e25,)], "amount double")
+    assert rows.agg(money_total(F.col("amount"))).first()[0] == 2e25
+    assert rows.where("amount < 0").agg(money_total(F.col("amount"))).first()[0] is None

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.columns import row_digest
 from lakestrata.operators.history import build_versions
-from lakestrata.operators.ranges import RANGE, split_ranges
+from lakestrata.operators.ranges import PLACE, RANGE, in_order, range_starts
 from lakestrata.operators.surrogate import add_surrogate_key
 from tests.conftest import plan_of
 
@@ -31,10 +31,10 @@ def _mixed(spark, rows=4000):
 
 
 @pytest.mark.parametrize("order", [["id"], ["name", "id"], ["at", "name", "id"], ["score", "at", "id"]])
-@pytest.mark.parametrize("rows_per_range", [150, 1500])
-def test_keys_equal_the_global_row_number(spark, order, rows_per_range):
+@pytest.mark.parametrize("ranges", [27, 3, None])
+def test_keys_equal_the_global_row_number(spark, order, ranges):
     df = _mixed(spark)
-    keyed = add_surrogate_key(df, order[:1], "sk", ties=order[1:], rows_per_range=rows_per_range)
+    keyed = add_surrogate_key(df, order[:1], "sk", ties=order[1:], ranges=ranges)
     joined = keyed.join(_numbered(df, order).select("id", "n"), "id")
     assert joined.where("sk = n").count() == 4000
     assert dict(keyed.dtypes)["sk"] == "bigint"
@@ -42,14 +42,14 @@ def test_keys_equal_the_global_row_number(spark, order, rows_per_range):
 
 def test_keys_do_not_depend_on_the_input_layout(spark):
     df = _mixed(spark)
-    one = add_surrogate_key(df, ["name"], "sk", ties=["id"], rows_per_range=300)
-    two = add_surrogate_key(df.repartition(13), ["name"], "sk", ties=["id"], rows_per_range=1000)
+    one = add_surrogate_key(df, ["name"], "sk", ties=["id"], ranges=13)
+    two = add_surrogate_key(df.repartition(13), ["name"], "sk", ties=["id"], unique=True, ranges=4)
     assert one.select("id", "sk").exceptAll(two.select("id", "sk")).count() == 0
 
 
 def test_repeated_keys_still_number_densely(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"))
-    keyed = add_surrogate_key(df, ["k"], "sk", rows_per_range=50)
+    keyed = add_surrogate_key(df, ["k"], "sk", ranges=20)
     assert [row[0] for row in keyed.orderBy("sk").select("sk").collect()] == list(range(1, 1001))
     assert keyed.where("sk <= 500").agg(F.max("k")).first()[0] == 0
 
@@ -58,34 +58,47 @@ def test_repeated_keys_still_number_densely(spark):
 def test_tiny_inputs(spark, rows):
     df = spark.range(rows)
     assert add_surrogate_key(df, ["id"], "sk").count() == rows
-    forced = add_surrogate_key(df, ["id"], "sk", rows_at_most=100, rows_per_range=10)
+    forced = add_surrogate_key(df, ["id"], "sk", unique=True, ranges=10)
     assert [row.sk for row in forced.collect()] == [1] * rows
 
 
-def test_ranges_are_ordered_and_balanced_under_a_hot_leading_value(spark):
-    df = _mixed(spark, 20000)
-    split = split_ranges(df, ["name", "id"], rows_per_range=1000)
-    sizes = dict(split.tag(df).groupBy(RANGE).count().collect())
-    assert split.count >= 15
-    assert max(sizes.values()) < 4000
-    edges = split.tag(df).groupBy(RANGE).agg(F.min("name").alias("a"), F.max("name").alias("b"))
-    rows = sorted(edges.where("a is not null").collect(), key=lambda row: row[RANGE])
-    assert all(left.b <= right.a for left, right in zip(rows, rows[1:]))
+def _hot(spark, rows=20000):
+    """One key on half of the rows, and a row that is there a thousand times."""
+    once = spark.range(rows, numPartitions=6).select(
+        F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v")
+    )
+    return once.union(spark.range(1000).select(F.lit(7).cast("long").alias("k"), F.lit(7).cast("long").alias("v")))
 
 
-def test_distributed_key_takes_one_shuffle_and_no_single_task(spark):
-    plan = plan_of(add_surrogate_key(_mixed(spark), ["id"], "sk", rows_per_range=200))
-    assert plan.count("Exchange") == 1
-    assert "SinglePartition" not in plan
+@pytest.mark.parametrize("order", [["k"], ["k", "v"]])
+def test_repeated_keys_are_parted_and_ranges_balanced(spark, order):
+    rows = in_order(_hot(spark), order, ranges=16)
+    sizes = [n for _, n in rows.groupBy(RANGE).count().collect()]
+    assert len(sizes) >= 15
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
 
 
-def test_range_search_is_compiled(spark):
-    df = _mixed(spark)
-    tagged = split_ranges(df, ["name", "id"], rows_per_range=200).tag(df)
-    plan = plan_of(tagged)
-    steps = [line for line in plan.splitlines() if "from_json" in line.lower()]
-    assert not steps, "split points must be constants in the plan"
-    assert all(line.lstrip(" :+-").startswith("*(1)") for line in plan.splitlines() if line.strip())
+def test_the_sample_of_the_cuts_is_bounded(spark):
+    """Spark's partitioner samples a set number of rows per range, whatever the table holds."""
+    per_range = int(spark.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition"))
+    assert 0 < per_range <= 1000
+
+
+def test_places_ascend_with_the_order_over_all_ranges(spark):
+    df = _mixed(spark, 5000)
+    rows = in_order(df, ["name", "at", "id"], unique=True, ranges=9)
+    found = [row.id for row in rows.orderBy(PLACE).select("id").collect()]
+    by = [F.col(c).asc_nulls_last() for c in ("name", "at", "id")]
+    assert found == [row.id for row in df.orderBy(*by).select("id").collect()]
+    starts = dict(range_starts(rows).collect())
+    assert min(starts.values()) == 0 and len(starts) == rows.select(RANGE).distinct().count()
+
+
+def test_the_key_reads_written_places(spark):
+    """No shuffle and no single task is left once the rows lie in order."""
+    plan = plan_of(add_surrogate_key(_mixed(spark), ["id"], "sk", ranges=20))
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert "BroadcastHashJoin" in plan
 
 
 # History
@@ -93,9 +106,9 @@ def test_range_search_is_compiled(spark):
 COLUMNS = "k string, at timestamp, a string, batch string, digest string"
 
 
-def _versions(df, **sizing):
+def _versions(df, ranges=None):
     return build_versions(
-        df, key="k", at="at", tracked=["a"], ties=["batch", "digest"], version_key="sk", **sizing
+        df, key="k", at="at", tracked=["a"], ties=["batch", "digest"], version_key="sk", ranges=ranges
     )
 
 
@@ -109,10 +122,10 @@ def _rows(spark, *rows):
     )
 
 
-@pytest.mark.parametrize("rows_per_range", [1, 2, 100])
-def test_back_and_forth_makes_three_versions(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [5, 2, None])
+def test_back_and_forth_makes_three_versions(spark, ranges):
     df = _rows(spark, ("p", 1, "A"), ("p", 2, "A"), ("p", 3, "B"), ("p", 4, "A"), ("q", 2, "A"))
-    out = _versions(df, rows_per_range=rows_per_range).orderBy("sk")
+    out = _versions(df, ranges=ranges).orderBy("sk")
     found = [(r.sk, r.k, r.a, r.effective_from, r.effective_to) for r in out.collect()]
     assert found == [
         (1, "p", "A", _t(1), _t(3)),
@@ -122,16 +135,16 @@ def test_back_and_forth_makes_three_versions(spark, rows_per_range):
     ]
 
 
-@pytest.mark.parametrize("rows_per_range", [1, 100])
-def test_equal_neighbours_of_different_entities_stay_apart(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [4, None])
+def test_equal_neighbours_of_different_entities_stay_apart(spark, ranges):
     df = _rows(spark, ("p", 1, "A"), ("q", 1, "A"), ("r", 1, None), ("s", 1, None))
-    assert _versions(df, rows_per_range=rows_per_range).count() == 4
+    assert _versions(df, ranges=ranges).count() == 4
 
 
-@pytest.mark.parametrize("rows_per_range", [1, 100])
-def test_copies_and_null_times(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [4, None])
+def test_copies_and_null_times(spark, ranges):
     df = _rows(spark, ("p", 1, "A"), ("p", 1, "A"), ("p", None, "B"), ("p", 1, "A"))
-    out = _versions(df, rows_per_range=rows_per_range).orderBy("sk").collect()
+    out = _versions(df, ranges=ranges).orderBy("sk").collect()
     assert [(r.a, r.digest, r.effective_to) for r in out] == [("A", "000", None), ("B", "002", None)]
 
 
@@ -153,8 +166,8 @@ def _reference_versions(df):
     )
 
 
-@pytest.mark.parametrize("rows_per_range", [40, 700, 100000])
-def test_versions_equal_windows_per_entity(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [75, 5, 1])
+def test_versions_equal_windows_per_entity(spark, ranges):
     """One entity owns a third of the rows; runs of equal values cross many ranges."""
     i = F.col("id")
     df = spark.range(0, 3000, 1, 4).select(
@@ -164,7 +177,7 @@ def test_versions_equal_windows_per_entity(spark, rows_per_range):
         F.concat(F.lit("b"), i % 2).alias("batch"),
         F.sha2(i.cast("string"), 256).alias("digest"),
     )
-    ours = _versions(df, rows_per_range=rows_per_range)
+    ours = _versions(df, ranges=ranges)
     columns = ["sk", "k", "at", "a", "digest", "effective_to"]
     theirs = _reference_versions(df)
     assert ours.count() == theirs.count() > 400
@@ -176,7 +189,9 @@ def test_hot_history_is_not_windowed_per_entity(spark):
         F.lit("hot").alias("k"), F.timestamp_seconds("id").alias("at"),
         (F.col("id") % 5).cast("string").alias("a"), F.lit("b").alias("batch"),
         F.col("id").cast("string").alias("digest"))
-    out = _versions(df, rows_per_range=50)
+    out = _versions(df, ranges=10)
+    plan = plan_of(out)
+    assert not [line for line in plan.splitlines() if "Window" in line and "hashpartitioning(k#" in line]
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
