@@ -11,12 +11,13 @@ NULL_TEXT = "NULL"
 HASH_SEPARATOR = "||"
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """SHA-256 over the named columns as text, in the order given.
+def row_digest(columns: Sequence[str | Column]) -> Column:
+    """SHA-256 over columns as text, in the order given.
 
     Nulls enter as the word NULL, so a null and that word digest alike.
     """
-    as_text = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(NULL_TEXT)) for name in columns]
+    values = [F.col(f"`{item}`") if isinstance(item, str) else item for item in columns]
+    as_text = [F.coalesce(value.cast("string"), F.lit(NULL_TEXT)) for value in values]
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *as_text), 256)
 
 

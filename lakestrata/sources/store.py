@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.types import common_types, disagree, widened
 from lakestrata.operators.quality import OUTCOME, REJECT, VALID, Checked
+from lakestrata.sources.files import Files
+from lakestrata.sources.scratch import written
 
 # Where each table lives under the root.
 TABLES = {
@@ -19,6 +23,10 @@ TABLES = {
     "silver_members": "silver/members",
     "silver_providers": "silver/providers",
     "silver_payments": "silver/payments",
+    "silver_claims_rejects": "silver/claims_rejects",
+    "silver_members_rejects": "silver/members_rejects",
+    "silver_providers_rejects": "silver/providers_rejects",
+    "silver_payments_rejects": "silver/payments_rejects",
     "dim_member_current": "gold/dim_member_current",
     "dim_provider_current": "gold/dim_provider_current",
     "dim_provider_scd2": "gold/dim_provider_scd2",
@@ -33,17 +41,21 @@ TABLES = {
 
 REJECTS_SUFFIX = "_rejects"
 
+# Formats that are plain files in a folder, so that a table can be replaced by a rename.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
+
 
 class LayerStore:
     """Reads and writes the tables of one lake.
 
     ``fmt`` is any Spark file format; "delta" works where the session has it.
-    A silver table holds its valid rows and its rejects as two partitions of
-    one directory, so both are written in one pass; ``silver_x`` and
-    ``silver_x_rejects`` each read only their own partition.
+    ``tables`` moves tables: a name and its path, under the root or absolute.
 
-    Plain file formats do not replace a table atomically.  Never write a table
-    from a frame that reads it.
+    A plain-file table is replaced by writing the new rows next to it and then
+    renaming, so a job that fails leaves the old rows, and a table may be
+    written from a frame that reads it.  If a run dies between the two renames,
+    the next use of the table puts the old rows back.  Frames read before a
+    replacement list files that are gone; read the table again.
     """
 
     def __init__(
@@ -53,26 +65,31 @@ class LayerStore:
         fmt: str = "parquet",
         write_options: Mapping[str, str] | None = None,
         read_options: Mapping[str, str] | None = None,
+        tables: Mapping[str, str] | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.write_options = dict(write_options or {})
         self.read_options = dict(read_options or {})
+        unknown = set(tables or {}) - set(TABLES)
+        if unknown:
+            raise KeyError(f"no such tables: {sorted(unknown)}")
+        self.tables = {**TABLES, **(tables or {})}
+        self.files = Files(spark)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{TABLES[name.removesuffix(REJECTS_SUFFIX)]}"
+        place = self.tables[name]
+        absolute = place.startswith("/") or "://" in place
+        return place.rstrip("/") if absolute else f"{self.root}/{place}"
 
     def read(self, name: str) -> DataFrame:
+        self._restore(name)
         options = dict(self.read_options)
         if name.startswith("bronze_"):
             # Appended batches may have brought columns that older files lack.
             options.setdefault("mergeSchema", "true")
-        table = self.spark.read.format(self.fmt).options(**options).load(self.path(name))
-        if not name.startswith("silver_"):
-            return table
-        outcome = REJECT if name.endswith(REJECTS_SUFFIX) else VALID
-        return table.where(F.col(OUTCOME) == outcome).drop(OUTCOME)
+        return self.spark.read.format(self.fmt).options(**options).load(self.path(name))
 
     def write(
         self,
@@ -81,16 +98,26 @@ class LayerStore:
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
     ) -> int:
-        """Store a table and return its row count, taken while writing."""
+        """Store a table and return the count of the rows written, taken while writing.
+
+        Appended rows whose columns have other types than the stored ones
+        rewrite the table once, with a type that holds both.
+        """
         counted = Observation()
         rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        if mode == "append" and self._types_differ(name, df):
+            stored = self.read(name)
+            kinds = common_types([stored.schema, df.schema])
+            rows = widened(stored, kinds).unionByName(widened(rows, kinds), allowMissingColumns=True)
+            mode = "overwrite"
         self._save(rows, name, mode, partition_by)
         return counted.get["rows"]
 
     def write_checked(self, checked: Checked, name: str) -> tuple[int, int]:
-        """Store valid rows and rejects together; return the two counts.
+        """Store valid rows and rejects as two tables; return the two counts.
 
-        Deleted rows are not stored.
+        Both come from one pass over the annotated rows.  Deleted rows are not
+        stored.
         """
         counted = Observation()
         rows = checked.rows.where(F.col(OUTCOME).isin(VALID, REJECT))
@@ -99,18 +126,70 @@ class LayerStore:
             F.count_if(F.col(OUTCOME) == VALID).alias("valid"),
             F.count_if(F.col(OUTCOME) == REJECT).alias("rejects"),
         )
-        self._save(observed, name, "overwrite", [OUTCOME])
-        counts = counted.get["valid"], counted.get["rejects"]
-        if not any(counts):
-            # A partitioned write of no rows leaves no file to take the schema from.
-            self._save(rows.limit(0), name, "overwrite", ())
-        return counts
+        targets = {VALID: name, REJECT: f"{name}{REJECTS_SUFFIX}"}
+        if self.fmt in FILE_FORMATS:
+            self._split(observed, targets)
+        else:
+            annotated = written(observed, "annotated")
+            for outcome, target in targets.items():
+                part = annotated.where(F.col(OUTCOME) == outcome).drop(OUTCOME)
+                self._save(part, target, "overwrite", ())
+        return counted.get["valid"], counted.get["rejects"]
+
+    def _split(self, rows: DataFrame, targets: Mapping[str, str]) -> None:
+        """Write rows once, parted by outcome, and rename each part into its table."""
+        both = self._beside(targets[VALID], f"next-{uuid.uuid4().hex}")
+        try:
+            writer = rows.write.format(self.fmt).options(**self.write_options)
+            writer.partitionBy(OUTCOME).save(both)
+            for outcome, target in targets.items():
+                part = f"{both}/{OUTCOME}={outcome}"
+                if not self.files.exists(part):
+                    # No row has this outcome, so there is no file to take the columns from.
+                    empty = self.spark.createDataFrame([], rows.drop(OUTCOME).schema)
+                    empty.write.format(self.fmt).options(**self.write_options).save(part)
+                self._replace(target, part)
+        finally:
+            self.files.delete(both)
+
+    def _types_differ(self, name: str, df: DataFrame) -> bool:
+        plain = self.fmt in FILE_FORMATS and self.files.exists(self.path(name))
+        return plain and disagree([self.read(name).schema, df.schema])
 
     def _save(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> None:
-        writer = df.write.format(self.fmt).mode(mode).options(**self.write_options)
-        if mode == "overwrite":
-            # A session set to dynamic overwrites would keep the partition that gets no rows this time.
-            writer = writer.option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(name))
+        def save(path: str, mode: str) -> None:
+            writer = df.write.format(self.fmt).mode(mode).options(**self.write_options)
+            if mode == "overwrite":
+                # A session set to dynamic overwrites would keep the partition that gets no rows this time.
+                writer = writer.option("partitionOverwriteMode", "static")
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+        if mode != "overwrite" or self.fmt not in FILE_FORMATS:
+            self._restore(name)
+            return save(self.path(name), mode)
+        following = self._beside(name, f"next-{uuid.uuid4().hex}")
+        try:
+            save(following, "error")
+            self._replace(name, following)
+        finally:
+            self.files.delete(following)
+
+    def _beside(self, name: str, what: str) -> str:
+        """A hidden path next to the table, in the same file system."""
+        folder, _, last = self.path(name).rpartition("/")
+        return f"{folder}/.{last}.{what}"
+
+    def _replace(self, name: str, following: str) -> None:
+        path, previous = self.path(name), self._beside(name, "previous")
+        self._restore(name)
+        if self.files.exists(path):
+            self.files.delete(previous)
+            self.files.rename(path, previous)
+        self.files.rename(following, path)
+        self.files.delete(previous)
+
+    def _restore(self, name: str) -> None:
+        """Undo half a replacement that a lost run left behind."""
+        path, previous = self.path(name), self._beside(name, "previous")
+        if self.fmt in FILE_FORMATS and not self.files.exists(path) and self.files.exists(previous):
+            self.files.rename(previous, path)
