@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.llm.encoding import Encoder, slices
+
 # What separates words, and the capitals that are lower-cased.
 WORD = r"[^\x20\x09-\x0D]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -78,54 +80,67 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Token ids of each whole text with an end id: ``key``, ``text_hash``, ``n_tokens``, ``ids``.
+def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text",
+              curve: Callable | None = None) -> DataFrame:
+    """Token ids of each whole text with an end id, written once: ``key``, ``text_hash``, ``n_tokens``, ``ids``, ``row``.
 
-    ``ids`` are little-endian unsigned integers of 16 bits, or 32 where the vocabulary needs them.
+    ``ids`` are little-endian unsigned integers of ``width`` bytes, 2 or, where the vocabulary needs them, 4.  ``row``
+    tells equal rows apart.  ``curve`` makes a number of a document's ids, in the same pass.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        width = id_type(tok.get_vocab_size())
+        encoder = Encoder(tokenizer_path)
+        end = np.array([end_id], encoder.width)
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.iloc[at : at + 64]
-                found = tok.encode_batch_fast(part["text"].tolist(), add_special_tokens=False)
-                arrays = [np.array(e.ids + [end_id], dtype=width) for e in found]
+            texts = batch["text"].tolist()
+            for lo, hi in slices(texts):
+                arrays = [np.concatenate([ids.astype(encoder.width), end]) for ids in encoder.ids(texts[lo:hi])]
+                part = batch.iloc[lo:hi]
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"],
                         "text_hash": part["text_hash"],
                         "n_tokens": [len(a) for a in arrays],
-                        "width": width.itemsize,
+                        "width": encoder.width.itemsize,
                         "ids": [a.tobytes() for a in arrays],
+                        "curve": [curve(a) if curve else 0 for a in arrays],
                     }
                 )
 
-    return rows.mapInPandas(encode, f"doc_id {kind}, text_hash long, n_tokens long, width int, ids binary")
-
-
-def id_type(vocabulary: int) -> np.dtype:
-    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+    schema = f"doc_id {kind}, text_hash long, n_tokens long, width int, ids binary, curve long"
+    return stored(rows.mapInPandas(encode, schema).withColumn("row", F.monotonically_increasing_id()), "token-ids")
 
 
 def read_ids(data: bytes, width: int) -> np.ndarray:
     return np.frombuffer(data, dtype=f"<u{width}").astype("<u4")
 
 
-def ordered_stream(df: DataFrame, order: list[str], what: str) -> DataFrame:
+def in_order(tokens: DataFrame, order: list[str]) -> DataFrame:
+    """Rows of ``tokenized`` dealt to sorted ranges; text hash, length and row number part a hot key."""
+    keys = [*order, "text_hash", "n_tokens", "row"]
+    parts = max(1, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return tokens.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+
+
+def range_starts(held: DataFrame) -> DataFrame:
+    """part, part_start: the ids before each range, from rows of (part, n).  One sum per range reaches the driver."""
+    sums = sorted((r["part"], r["n"]) for r in held.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    starts, before = [], 0
+    for part, n in sums:
+        starts.append((part, before))
+        before += n
+    return held.sparkSession.createDataFrame(starts, "part int, part_start long")
+
+
+def ordered_stream(tokens: DataFrame, order: list[str], what: str) -> DataFrame:
     """Rows of ``tokenized`` in one global order, with ``stream_start``: the ids before each row.
 
-    Rows are cut into sorted ranges, numbered inside each task and written to the shared folder; only one
-    sum per range reaches the driver.  The text hash and length settle equal keys, so a hot key is split.
+    Rows are cut into sorted ranges, numbered inside each task and written to the shared folder.
     """
-    spark = df.sparkSession
-    schema = df.schema.simpleString()[len("struct<") : -1]
+    schema = tokens.schema.simpleString()[len("struct<") : -1]
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -136,16 +151,8 @@ def ordered_stream(df: DataFrame, order: list[str], what: str) -> DataFrame:
             yield batch.assign(part=part, within=ends - batch["n_tokens"])
             before = int(ends.iloc[-1]) if len(ends) else before
 
-    keys = [*order, "text_hash", "n_tokens"]
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    numbered = stored(ranged.mapInPandas(number, f"{schema}, part int, within long"), what)
-    sums = sorted((r["part"], r["n"]) for r in numbered.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
-    starts, before = [], 0
-    for part, n in sums:
-        starts.append((part, before))
-        before += n
-    offsets = spark.createDataFrame(starts, "part int, part_start long")  # one row per range
+    numbered = stored(in_order(tokens, order).mapInPandas(number, f"{schema}, part int, within long"), what)
+    offsets = range_starts(numbered.select("part", F.col("n_tokens").alias("n")))  # one row per range
     return numbered.join(F.broadcast(offsets), "part").select(
         "*", (F.col("part_start") + F.col("within")).alias("stream_start")
     )

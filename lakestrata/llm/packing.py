@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import ordered_stream, read_ids, stored, tokenized
+from lakestrata.llm.common import ordered_stream, read_ids, tokenized
 
 DIMS, BITS = 4, 8
 FEATURES = 1024  # length of the hashed vector
@@ -52,25 +52,21 @@ def curve_points(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
 
 
 def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int = SEQUENCE,
-           text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+           text: str = "text", doc_id: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """One row per piece, with its ids and its place: a stream along the curve, cut every ``sequence`` ids.
 
     Only the last sequence may need padding; its padded length is the next power of two.  Null and empty texts
     hold the end id alone; equal rows are all packed; an empty table gives no pieces.  Other columns of ``docs``
-    are not read.
+    are not read.  Without ``with_ids`` the pieces have their crc32 only.
     """
-    tokens = tokenized(docs, tokenizer_path, end_id, doc_id, text)
-    schema = tokens.schema.simpleString()[len("struct<") : -1]
     projection = np.random.default_rng(7).normal(size=(FEATURES, DIMS)) * 2.0
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            points = [curve_points(read_ids(b, w), projection) for b, w in zip(batch["ids"], batch["width"])]
-            yield batch.assign(curve=hilbert_keys(np.array(points))) if points else batch.assign(curve=0)
+    def curve(ids: np.ndarray) -> int:
+        return int(hilbert_keys(curve_points(ids.astype("<u4"), projection)[None, :])[0])
 
     # Tokenised once: the range cut reads the stored rows twice.
-    curve = stored(tokens.mapInPandas(keyed, f"{schema}, curve long"), "curve")
-    stream = ordered_stream(curve, ["curve", "doc_id"], "packed").select(
+    tokens = tokenized(docs, tokenizer_path, end_id, doc_id, text, curve)
+    stream = ordered_stream(tokens, ["curve", "doc_id"], "packed").select(
         "doc_id", "n_tokens", "width", "ids", "stream_start"
     )
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -86,13 +82,14 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int
                     seq, offset = divmod(r.stream_start + start, sequence)
                     part = ids[start : start + sequence - offset].tobytes()
                     n = len(part) // 4
-                    out.append((r.doc_id, start, n, zlib.crc32(part), len(ids), seq, offset, part))
+                    out.append((r.doc_id, start, n, zlib.crc32(part), len(ids), seq, offset, part if with_ids else None))
                     start += n
             yield pd.DataFrame(out, columns=columns)
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-    return stream.mapInPandas(
+    found = stream.mapInPandas(
         pieces,
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
         "offset long, ids binary",
     )
+    return found if with_ids else found.drop("ids")

@@ -66,7 +66,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file()).drop("ids")
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import ordered_stream, read_ids, shared_path, tokenized
+from lakestrata.llm.common import in_order, range_starts, read_ids, shared_path, tokenized
 
 MAX_BITS = 18
 BLOCK = 1 << 16  # ids per block
-STEP = 256  # ids per checkpoint
+COUNTED = 1 << 20  # ids that are counted together
+STEP = 64  # ids per checkpoint
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -68,48 +69,66 @@ def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> tuple[np.ndarr
 def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, list[int]]:
     """Payload and the bit offset of every ``STEP``-th id."""
     size = lengths[ids]
-    starts = np.cumsum(size) - size
-    owner = np.repeat(np.arange(len(ids)), size)
-    shift = size[owner] - 1 - (np.arange(len(owner)) - starts[owner])
-    return np.packbits((codes[ids][owner] >> shift & 1).astype(np.uint8)).tobytes(), starts[::STEP].tolist()
+    ends = np.cumsum(size)
+    starts = ends - size
+    # A code lies in one or two words of 32 bits; the bits of a word are disjoint, so adding joins them.
+    shifted = codes[ids].astype(np.uint64) << (64 - (starts & 31) - size).astype(np.uint64)
+    word, n = starts >> 5, int(ends[-1] >> 5) + 2 if len(ids) else 0
+    high = np.bincount(word, (shifted >> np.uint64(32)).astype(np.float64), n)
+    low = np.bincount(word + 1, (shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
+    payload = (high + low).astype(">u4").tobytes()
+    return payload[: (int(ends[-1]) + 7) // 8 if len(ids) else 0], starts[::STEP].tolist()
 
 
 def decode(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """All ids of a block: the lanes between checkpoints advance together."""
-    data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
+    raw = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
+    # The 32 bits that start at each byte.
+    data = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
     ids, bits = table
-    at, out = np.array(checkpoints, np.int64), np.zeros((len(checkpoints), STEP), np.int32)
-    last = 8 * len(payload)
+    at, out = np.array(checkpoints, np.int64), np.zeros((STEP, len(checkpoints)), np.int32)
+    last, mask = len(payload), (1 << MAX_BITS) - 1
     for k in range(STEP):
-        byte = np.minimum(at, last) >> 3
-        window = data[byte] << 24 | data[byte + 1] << 16 | data[byte + 2] << 8 | data[byte + 3]
-        value = window >> (32 - MAX_BITS - (at & 7)) & ((1 << MAX_BITS) - 1)
-        out[:, k] = ids[value]
+        window = data[np.minimum(at >> 3, last)]
+        value = window >> (32 - MAX_BITS - (at & 7)) & mask
+        out[k] = ids[value]
         at += bits[value]
-    return out.reshape(-1)[:n].astype("<u4")
+    return out.T.reshape(-1)[:n].astype("<u4")
+
+
+def added(total: np.ndarray, held: list[np.ndarray]) -> np.ndarray:
+    """Counts per id, with those of more arrays."""
+    more = np.bincount(np.concatenate(held)) if held else np.zeros(0, np.int64)
+    out = np.zeros(max(len(total), len(more)), np.int64)
+    out[: len(total)] += total
+    out[: len(more)] += more
+    return out
 
 
 def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2,
               text: str = "text", doc_id: str = "doc_id") -> None:
-    """Write the ids of all documents in ascending id order to ``path``: ``codes`` and ``blocks``.
+    """Write the ids of all documents in ascending id order to ``path``: ``codes``, ``blocks`` and ``ranges``.
 
-    A block holds a bounded number of ids, the slices of documents it covers and its checkpoints, and is decoded
-    alone.  Null and empty texts hold the end id; equal rows are all written, nulls first; other columns are not read.
+    The files of ``blocks`` ascend by name, and the documents in them by id.  A block holds a bounded number of ids,
+    the slices of documents it covers and its checkpoints, and is decoded alone.  A slice's start counts from its
+    range, and ``ranges`` has the ids before each.  Null and empty texts hold the end id; equal rows are all written, nulls first; other columns are not read.
     """
     spark = docs.sparkSession
-    stream = ordered_stream(tokenized(docs, tokenizer_path, end_id, doc_id, text), ["doc_id"], "ids")
+    tokens = tokenized(docs, tokenizer_path, end_id, doc_id, text)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
+        total, held, size = np.zeros(0, np.int64), [], 0
         for batch in batches:
             for data, width in zip(batch["ids"], batch["width"]):
-                c = np.bincount(read_ids(data, width))
-                total = np.pad(total, (0, max(0, len(c) - len(total))))
-                total[: len(c)] += c
+                held.append(read_ids(data, width))
+                size += len(held[-1])
+                if size >= COUNTED:
+                    total, held, size = added(total, held), [], 0
+        total = added(total, held)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
 
-    partial = stream.select("ids", "width").mapInPandas(count, "id long, n long")
+    partial = tokens.select("ids", "width").mapInPandas(count, "id long, n long")
     rows = partial.groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most one per vocabulary entry
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
@@ -122,14 +141,17 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2,
     spark.createDataFrame(pairs, "id long, bits long").coalesce(1).write.parquet(f"{path}/codes")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), 0
         held: list = []
         size = 0
 
         def block() -> pd.DataFrame:
             ids = np.concatenate([p for *_, p in held])
             payload, marks = encode(ids, lengths, codes)
-            slices = [{"doc_id": d, "start": s, "n_tokens": n, "piece": k, "length": len(p)} for d, s, n, k, p in held]
-            return pd.DataFrame([{"n": len(ids), "payload": payload, "checkpoints": marks, "slices": slices}])
+            slices = [{"doc_id": d, "within": s, "n_tokens": n, "piece": k, "length": len(p)} for d, s, n, k, p in held]
+            return pd.DataFrame([{"part": part, "n": len(ids), "payload": payload, "checkpoints": marks, "slices": slices}])
 
         for batch in batches:
             for r in batch.itertuples(index=False):
@@ -138,24 +160,29 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2,
                     yield block()
                     held, size = [], 0
                 for k in range(0, len(ids), BLOCK):
-                    held.append((r.doc_id, r.stream_start, r.n_tokens, k, ids[k : k + BLOCK]))
+                    held.append((r.doc_id, before, r.n_tokens, k, ids[k : k + BLOCK]))
                     size += len(held[-1][-1])
                     if size >= BLOCK:
                         yield block()
                         held, size = [], 0
+                before += len(ids)
         if held:
             yield block()
 
-    # The join that adds the offsets keeps each range in its own tasks and order.
-    stream.select("doc_id", "stream_start", "n_tokens", "width", "ids").mapInPandas(
+    # Each task writes the file of its own range, so the names keep the order.
+    in_order(tokens, ["doc_id"]).select("doc_id", "n_tokens", "width", "ids").mapInPandas(
         blocks,
-        "n long, payload binary, checkpoints array<long>, "
-        f"slices array<struct<doc_id: {kind}, start: long, n_tokens: long, piece: long, length: long>>",
+        "part int, n long, payload binary, checkpoints array<long>, "
+        f"slices array<struct<doc_id: {kind}, within: long, n_tokens: long, piece: long, length: long>>",
     ).write.parquet(f"{path}/blocks")
+    range_starts(spark.read.parquet(f"{path}/blocks").select("part", "n")).coalesce(1).write.parquet(f"{path}/ranges")
 
 
-def read_slices(spark, path: str, kind: str = "bigint") -> DataFrame:
-    """Decode the files: doc_id, start, n_tokens, piece (first id within the document) and its ids as 32-bit."""
+def read_slices(spark, path: str, kind: str = "bigint", cut_only: bool = False) -> DataFrame:
+    """Decode the files: doc_id, start, n_tokens, piece (first id within the document), crc32 and its ids as 32-bit.
+
+    With ``cut_only`` the ids are returned of documents that lie in several pieces only.
+    """
     rows = spark.read.parquet(f"{path}/codes").collect()  # at most one per vocabulary entry
     lengths = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
@@ -168,12 +195,16 @@ def read_slices(spark, path: str, kind: str = "bigint") -> DataFrame:
                 ids, at, out = decode(b.payload, b.checkpoints, b.n, lookup), 0, []
                 for s in b.slices:
                     part = ids[at : at + s["length"]].tobytes()
-                    out.append((s["doc_id"], s["start"], s["n_tokens"], s["piece"], part))
+                    given = None if cut_only and s["length"] == s["n_tokens"] else part
+                    start = b.part_start + s["within"]
+                    out.append((s["doc_id"], start, s["n_tokens"], s["piece"], zlib.crc32(part), given))
                     at += s["length"]
-                yield pd.DataFrame(out, columns=["doc_id", "start", "n_tokens", "piece", "ids"])
+                yield pd.DataFrame(out, columns=["doc_id", "start", "n_tokens", "piece", "piece_crc32", "ids"])
 
-    return spark.read.parquet(f"{path}/blocks").mapInPandas(
-        decoded, f"doc_id {kind}, start long, n_tokens long, piece long, ids binary"
+    # One row per range.
+    blocks = spark.read.parquet(f"{path}/blocks").join(F.broadcast(spark.read.parquet(f"{path}/ranges")), "part")
+    return blocks.mapInPandas(
+        decoded, f"doc_id {kind}, start long, n_tokens long, piece long, piece_crc32 long, ids binary"
     )
 
 
@@ -190,16 +221,17 @@ def digests(slices: DataFrame) -> DataFrame:
 
         return pieces.map(one)
 
-    whole = slices.where("piece = 0 and length(ids) = 4 * n_tokens").select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    # One pass: a document in one piece has its digest already.
+    given = F.when(F.col("ids").isNotNull(), F.struct("piece", "ids"))
+    found = slices.groupBy("doc_id", "start", "n_tokens").agg(
+        F.max("piece_crc32").alias("whole"), F.collect_list(given).alias("p")
     )
-    cut = slices.where("not (piece = 0 and length(ids) = 4 * n_tokens)")
-    joined = cut.groupBy("doc_id", "start", "n_tokens").agg(F.collect_list(F.struct("piece", "ids")).alias("p"))
-    return whole.unionByName(joined.select("doc_id", "start", "n_tokens", crc("p").alias("ids_crc32")))
+    joined = F.when(F.size("p") == 0, F.col("whole")).otherwise(crc("p"))
+    return found.select("doc_id", "start", "n_tokens", joined.alias("ids_crc32"))
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """Write all documents and return the digests of what the files hold."""
     path = shared_path(docs.sparkSession, "token-ids")
     write_ids(docs, tokenizer_path, path, end_id)
-    return digests(read_slices(docs.sparkSession, path, docs.schema["doc_id"].dataType.simpleString()))
+    return digests(read_slices(docs.sparkSession, path, docs.schema["doc_id"].dataType.simpleString(), cut_only=True))
