@@ -25,7 +25,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs, tokenizer_file()).drop("ids")
+    return packing.packed(docs, tokenizer_file(), with_ids=False)
 
 
 STAGES = [
