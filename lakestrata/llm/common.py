@@ -85,7 +85,7 @@ def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_i
     """Token ids of each whole text with an end id, written once: ``key``, ``text_hash``, ``n_tokens``, ``ids``, ``row``.
 
     ``ids`` are little-endian unsigned integers of ``width`` bytes, 2 or, where the vocabulary needs them, 4.  ``row``
-    tells equal rows apart.  ``curve`` makes a number of a document's ids, in the same pass.
+    tells equal rows apart.  ``curve`` makes a number for each of some documents' ids, in the same pass.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
@@ -106,7 +106,7 @@ def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_i
                         "n_tokens": [len(a) for a in arrays],
                         "width": encoder.width.itemsize,
                         "ids": [a.tobytes() for a in arrays],
-                        "curve": [curve(a) if curve else 0 for a in arrays],
+                        "curve": curve(arrays) if curve else 0,
                     }
                 )
 

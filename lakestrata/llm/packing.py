@@ -14,6 +14,7 @@ from lakestrata.llm.common import ordered_stream, read_ids, tokenized
 DIMS, BITS = 4, 8
 FEATURES = 1024  # length of the hashed vector
 SEQUENCE = 2048
+GROUP = 256  # documents whose vectors are held together
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -43,12 +44,21 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def curve_points(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """Hashed term vector of the ids, projected to ``DIMS`` signed numbers and cut to ``BITS`` bits."""
-    slots = (ids.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(FEATURES)
-    vector = np.sqrt(np.bincount(slots.astype(np.int64), minlength=FEATURES))
-    vector /= max(np.linalg.norm(vector), 1.0)
-    return np.clip((np.tanh(vector @ projection) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
+def curve_points(arrays: list[np.ndarray], projection: np.ndarray) -> np.ndarray:
+    """Hashed term vectors of the documents, projected to ``DIMS`` signed numbers and cut to ``BITS`` bits."""
+    out = []
+    for at in range(0, len(arrays), GROUP):
+        group = arrays[at : at + GROUP]
+        ids = np.concatenate(group).astype(np.uint64)
+        slots = (ids * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(FEATURES)
+        of = np.repeat(np.arange(len(group)) * FEATURES, [len(g) for g in group])
+        counts = np.bincount(slots.astype(np.int64) + of, minlength=len(group) * FEATURES).reshape(len(group), FEATURES)
+        vectors = np.sqrt(counts)
+        vectors /= np.maximum(np.sqrt(counts.sum(axis=1, keepdims=True)), 1.0)
+        # Summed in one order for each document, whatever stands beside it.
+        out.append(np.stack([(vectors * column).sum(axis=1) for column in projection.T], axis=1))
+    places = (np.tanh(np.concatenate(out)) + 1) / 2 * (1 << BITS)
+    return np.clip(places, 0, (1 << BITS) - 1).astype(np.int64)
 
 
 def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int = SEQUENCE,
@@ -61,8 +71,8 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int
     """
     projection = np.random.default_rng(7).normal(size=(FEATURES, DIMS)) * 2.0
 
-    def curve(ids: np.ndarray) -> int:
-        return int(hilbert_keys(curve_points(ids.astype("<u4"), projection)[None, :])[0])
+    def curve(arrays: list[np.ndarray]) -> np.ndarray:
+        return hilbert_keys(curve_points(arrays, projection))
 
     # Tokenised once: the range cut reads the stored rows twice.
     tokens = tokenized(docs, tokenizer_path, end_id, doc_id, text, curve)
