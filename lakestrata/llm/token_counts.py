@@ -1,4 +1,4 @@
-"""Edit-aware token counts: segment trees of pre-tokens, re-encoded only around edits."""
+"""Edit-aware token counts: segment trees kept per document, re-encoded only around edits."""
 
 from __future__ import annotations
 
@@ -9,13 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import text_or_empty
+from lakestrata.llm.common import stored, text_or_empty
+from lakestrata.llm.encoding import Encoder, slices
 
-BACK = 3  # characters that a pre-token's end may look ahead
+LEAF = 32  # segments (words with the space before them) of a leaf
 
 
 class CountTree:
-    """Sums of token counts over pre-tokens; the leaves are spaced so that edits change a path, not the tree."""
+    """Sums of token counts over leaves; they are spaced so that edits change a path, not the tree."""
 
     def __init__(self, counts: np.ndarray):
         self.size = 1 << max(1, int(len(counts) - 1).bit_length())
@@ -41,84 +42,112 @@ class CountTree:
         return int(self.sums[1])
 
 
-def recount(docs: DataFrame, edits: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_before, n_tokens, n_segments, n_encoded: counts before and after each document's edits.
+def leaves_of(sizes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tokens of each leaf, from those of each segment."""
+    first = np.arange(0, len(sizes), LEAF)
+    return np.add.reduceat(lengths, first) if len(first) else lengths, np.add.reduceat(sizes, first) if len(first) else sizes
 
+
+def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    body = text_or_empty(F.col(text))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
+
+
+def count_trees(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, text_hash, chars, counts: the leaves of every document's tree, written once.
+
+    A leaf is a run of whole segments, so encoding it alone gives its ids.  A null or empty text has no leaves; equal
+    rows have one tree; special strings are ordinary text.
+    """
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(tokenizer_path, special_as_text=True)
+        for batch in batches:
+            texts = batch["body"].tolist()
+            for lo, hi in slices(texts):
+                _, sizes, counts, lengths = encoder.segments(texts[lo:hi], measured=True)
+                ends = np.cumsum(counts)
+                found = [leaves_of(sizes[a:b], lengths[a:b]) for a, b in zip(ends - counts, ends)]
+                part = batch.iloc[lo:hi]
+                yield pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"],
+                        "text_hash": part["text_hash"],
+                        "chars": [c for c, _ in found],
+                        "counts": [n for _, n in found],
+                    }
+                )
+
+    schema = f"doc_id {kind}, text_hash long, chars array<int>, counts array<int>"
+    return stored(keyed(docs, text, doc_id).mapInPandas(grow, schema), "count-trees")
+
+
+def edited(encoder: Encoder, body: str, chars: np.ndarray, counts: np.ndarray, edits) -> tuple[int, int, int]:
+    """Tokens after the edits, leaves then, and segments that were encoded for them."""
+    slots, tree, encoded = np.arange(len(counts)), CountTree(counts), 0
+    for e in edits:
+        at = min(max(int(e["at"] or 0), 0), len(body))
+        stop = min(at + max(int(e["length"] or 0), 0), len(body))
+        insert = e["insert"] or ""
+        ends = np.cumsum(chars)
+        # The leaves that hold the edit and one character on each side: a border of leaves with two
+        # untouched characters, no space and then white space, parts what is encoded.
+        first = int(np.searchsorted(ends, max(at - 1, 0), side="right"))
+        last = int(np.searchsorted(ends, min(stop, len(body) - 1), side="right")) + 1 if len(body) else first
+        start, until = int(ends[first - 1]) if first else 0, int(ends[last - 1]) if last else 0
+        _, sizes, _, lengths = encoder.segments([body[start:at] + insert + body[stop:until]], measured=True)
+        encoded += len(sizes)
+        new_chars, new_counts = leaves_of(sizes, lengths)
+        body = body[:at] + insert + body[stop:]
+        chars = np.concatenate([chars[:first], new_chars, chars[last:]])
+        counts = np.concatenate([counts[:first], new_counts, counts[last:]])
+        if last > first and len(new_counts):
+            lo, hi = int(slots[first]), int(slots[last - 1]) + 1
+            slots = np.concatenate([slots[:first], np.full(len(new_counts), lo), slots[last:]])
+            mine = slice(*np.searchsorted(slots, [lo, hi]))  # a border slot may hold other leaves too
+            tree.replace(lo, hi, int(counts[mine].sum()))
+            slots[mine] = lo
+        else:
+            tree, slots = CountTree(counts), np.arange(len(counts))
+    return tree.total, len(counts), encoded
+
+
+def recount(docs: DataFrame, edits: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str = "doc_id",
+            trees: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_before, n_tokens, n_leaves, n_encoded: counts before and after each document's edits.
+
+    ``trees`` are the kept leaves of ``count_trees`` on the same documents; without them they are grown here.
     ``edits`` has doc_id, seq, at, length, insert: characters replaced in the text as the edits before left it.
-    Only pre-tokens that an edit or its context touches are encoded again.  Special strings are ordinary text.
-    A null text is empty; positions past the end mean the end; null edit fields mean 0 or no text; documents without
-    edits keep their counts; equal ids get the same edits.
+    Only leaves that an edit or the character beside it touches are encoded again (``n_encoded`` segments); a
+    document without edits encodes nothing.  A null text is empty; positions past the end mean the end; null edit
+    fields mean 0 or no text; equal ids get the same edits and a null id none; edits of equal ``seq`` go by place;
+    repeated rows are counted each; an empty table gives no rows; other columns are not read.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    of = edits.groupBy(F.col("doc_id").alias("__id")).agg(
+    trees = count_trees(docs, tokenizer_path, text, doc_id) if trees is None else trees
+    of = edits.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(
         F.array_sort(F.collect_list(F.struct("seq", "at", "length", "insert"))).alias("edits")
     )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(F.col(text)).alias("body"))
-    rows = rows.join(of, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    single = trees.dropDuplicates(["doc_id", "text_hash"])
+    known = single.join(of, F.col("doc_id") == F.col("__id"), "left").drop("__id").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "chars", "counts", "edits"
+    )
+    rows = keyed(docs, text, doc_id)
+    # The texts shuffle once, next to what is kept about them.
+    joined = rows.join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        tok.encode_special_tokens = True
-        split = tok.pre_tokenizer.pre_tokenize_str
-
-        def sizes(pieces: list[str]) -> np.ndarray:
-            found = tok.encode_batch_fast(pieces, add_special_tokens=False) if pieces else []
-            return np.array([len(e.ids) for e in found], np.int64)
-
-        def cuts(body: str) -> list[tuple[int, int]]:
-            return [span for _, span in split(body)]
-
+        encoder = Encoder(tokenizer_path, special_as_text=True)
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
-                body = r.body
-                spans = cuts(body)
-                counts = sizes([body[a:b] for a, b in spans])
-                ends = np.array([b for _, b in spans], np.int64)
-                leaves = np.arange(len(ends))
-                tree = CountTree(counts)
-                before, encoded = tree.total, len(ends)
-                for e in r.edits if r.edits is not None else ():
-                    at = min(max(int(e["at"] or 0), 0), len(body))
-                    stop = min(at + max(int(e["length"] or 0), 0), len(body))
-                    insert = e["insert"] or ""
-                    shift = len(insert) - (stop - at)
-                    body = body[:at] + insert + body[stop:]
-                    first = int(np.searchsorted(ends, at - BACK, side="right"))
-                    start = int(ends[first - 1]) if first else 0
-                    reach = 64
-                    while True:  # widen until a new border meets an old one past the edit
-                        old = min(int(np.searchsorted(ends, stop, side="left")) + reach, len(ends))
-                        until = int(ends[old - 1]) + shift if old else len(body)
-                        until = len(body) if old == len(ends) else min(until + BACK, len(body))
-                        fresh = [start + b for _, b in cuts(body[start:until])]
-                        known = set((ends[first:] + shift)[ends[first:] >= stop].tolist())
-                        safe = [b for b in fresh if b in known and b >= at + len(insert) and (b + BACK <= until or until == len(body))]
-                        if safe or until == len(body):
-                            break
-                        reach *= 2
-                    meet = safe[0] if safe else len(body)
-                    fresh = [b for b in fresh if b <= meet]
-                    last = int(np.searchsorted(ends, meet - shift, side="right")) if safe else len(ends)
-                    new = sizes([body[a:b] for a, b in zip([start, *fresh], fresh)])
-                    encoded += len(new)
-                    ends, counts = (
-                        np.concatenate([ends[:first], np.array(fresh, np.int64), ends[last:] + shift]),
-                        np.concatenate([counts[:first], new, counts[last:]]),
-                    )
-                    if last > first:
-                        lo, hi = int(leaves[first]), int(leaves[last - 1]) + 1
-                        leaves = np.concatenate([leaves[:first], np.full(len(new), lo), leaves[last:]])
-                        mine = slice(*np.searchsorted(leaves, [lo, hi]))  # a border leaf may hold others too
-                        tree.replace(lo, hi, int(counts[mine].sum()))
-                        leaves[mine] = lo
-                    if last <= first or len(new) == 0:
-                        tree, leaves = CountTree(counts), np.arange(len(counts))
-                out.append((r.doc_id, before, tree.total, len(ends), encoded))
-            yield pd.DataFrame(out, columns=["doc_id", "n_before", "n_tokens", "n_segments", "n_encoded"])
-
-    return rows.mapInPandas(
-        count, f"doc_id {kind}, n_before long, n_tokens long, n_segments long, n_encoded long"
+                chars, counts = np.asarray(r.chars, np.int64), np.asarray(r.counts, np.int64)
+                before = int(counts.sum())
+                after = (before, len(counts), 0) if r.edits is None else edited(encoder, r.body, chars, counts, r.edits)
+                out.append((r.doc_id, before, *after))
+            yield pd.DataFrame(out, columns=["doc_id", "n_before", "n_tokens", "n_leaves", "n_encoded"])
+
+    return joined.select("doc_id", "body", "chars", "counts", "edits").mapInPandas(
+        count, f"doc_id {kind}, n_before long, n_tokens long, n_leaves long, n_encoded long"
     )

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from lakestrata.llm import encoding, packing, token_ids
+from lakestrata.llm import encoding, packing, token_counts, token_ids
 from lakestrata.llm.common import tokenizer_file
 
 PARTS = ["a", "b'", " ", "  ", "\n", "\t", "　", "\x1c", "\x85", "'s", "don't", "<|endoftext|>", "é", "1", "12.", "!",
@@ -106,3 +106,43 @@ def test_pieces_hold_every_id_once(spark, tokenizer, rows):
     assert all(ends[s] == packing.SEQUENCE for s in range(max(ends)))
     narrow = packing.packed(docs, tokenizer_file(), with_ids=False)
     assert "ids" not in narrow.columns and narrow.count() == len(pieces)
+
+
+def test_counts_after_random_edits_equal_encoding_again(spark, tokenizer):
+    """Edits at any place, also in white space, at both ends, past the end and of whole texts."""
+    rng = random.Random(6)
+    schema = "doc_id long, text string, edits int, counts string"
+    docs, edits, expected = [], [], {}
+    for i in range(150):
+        text = "".join(rng.choices(PARTS, k=rng.choice([0, 3, 40, 900])))
+        docs.append((i, text or None if i % 2 else text, 0, "clash"))
+        body, before = text, text
+        for seq in range(i % 5):
+            at, length = rng.randint(0, len(body) + 2), rng.choice([0, 1, 5, 200, 5000])
+            insert = rng.choice([None, "", " ", "x", "".join(rng.choices(PARTS, k=rng.randint(1, 50)))])
+            edits.append((i, seq, at, length, insert))
+            start = min(at, len(body))
+            body = body[:start] + (insert or "") + body[start + length :]
+        expected[i] = (before, body)
+    tokenizer.encode_special_tokens = True
+    count = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+    expected = [(i, count(a), count(b)) for i, (a, b) in expected.items()]
+    tokenizer.encode_special_tokens = False
+    table = spark.createDataFrame([*docs, docs[44], (None, "no id", 0, ""), (1, "another one", 0, "")], schema)
+    changes = spark.createDataFrame(
+        [*edits, (None, 0, 0, 1, "x"), (2, 9, None, None, None)], "doc_id long, seq int, at int, length int, insert string")
+    found = token_counts.recount(table, changes, tokenizer_file()).collect()
+    got = sorted((r.doc_id, r.n_before, r.n_tokens) for r in found if r.doc_id is not None and r.n_before != 2)
+    assert got == sorted(e for e in [*expected, expected[44]] if e[1] != 2)
+    assert len(found) == 153
+    assert all(r.n_encoded == 0 for r in found if r.doc_id is not None and r.doc_id % 5 == 0)
+    assert token_counts.recount(table.limit(0), changes, tokenizer_file()).count() == 0
+
+
+def test_an_edit_encodes_only_leaves_around_it(spark):
+    words = " ".join(f"word{i}" for i in range(5000))
+    docs = spark.createDataFrame([(1, words)], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, 0, 20_000, 3, "abc")], "doc_id long, seq int, at int, length int, insert string")
+    trees = token_counts.count_trees(docs, tokenizer_file())
+    row = token_counts.recount(docs, edits, tokenizer_file(), trees=trees).first()
+    assert 0 < row.n_encoded <= 2 * token_counts.LEAF + 1 and row.n_leaves >= 5000 // token_counts.LEAF
