@@ -126,16 +126,16 @@ def recount(docs: DataFrame, edits: DataFrame, tokenizer_path: str, text: str =
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     trees = count_trees(docs, tokenizer_path, text, doc_id) if trees is None else trees
-    of = edits.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(
+    # Everything meets on one hash of the id, which null ids have too, so each side is shuffled once.
+    key = F.xxhash64("doc_id").alias("__key")
+    of = edits.where(F.col("doc_id").isNotNull()).groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("seq", "at", "length", "insert"))).alias("edits")
     )
-    single = trees.dropDuplicates(["doc_id", "text_hash"])
-    known = single.join(of, F.col("doc_id") == F.col("__id"), "left").drop("__id").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "chars", "counts", "edits"
-    )
-    rows = keyed(docs, text, doc_id)
-    # The texts shuffle once, next to what is kept about them.
-    joined = rows.join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    leaves = trees.select(key, F.col("text_hash").alias("__hash"), "chars", "counts")
+    known = leaves.join(of, "__key", "left").dropDuplicates(["__key", "__hash"])
+    rows = keyed(docs, text, doc_id).withColumn("__key", F.xxhash64("doc_id"))
+    # Differing bits and not an equality, so that the rows stay where the id's hash has put them.
+    joined = rows.join(known, (rows["__key"] == known["__key"]) & (rows["text_hash"].bitwiseXOR(known["__hash"]) == 0))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(tokenizer_path, special_as_text=True)
