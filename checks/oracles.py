@@ -21,13 +21,14 @@ def _order(view: View) -> str:
     return ", ".join([*clocks, f"{BATCH} DESC NULLS LAST", "record_hash ASC"])
 
 
-def latest(name: str, keys: str) -> str:
+def latest(name: str, keys: str, all_null_keys: bool = False) -> str:
     view = VIEWS[name]
+    extra = "".join(f" OR {key} IS NULL" for key in keys.split(", ")) if all_null_keys else ""
     ranked = (
         f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {_order(view)}) AS rn"
         f" FROM ({view.oracle_sql}) AS b"
     )
-    return f"SELECT * EXCLUDE (rn) FROM ({ranked}) AS r WHERE rn = 1"
+    return f"SELECT * EXCLUDE (rn) FROM ({ranked}) AS r WHERE rn = 1{extra}"
 
 
 def reasons(*rules: tuple[str, str]) -> str:
@@ -76,6 +77,9 @@ FROM ({latest("claims", "claim_id, claim_line_id")}) AS k""",
     ],
 )
 
+_CLAIM_KEYS = "claims", "claim_id, claim_line_id"
+CLAIMS_CHECKED_NULL_KEYS = CLAIMS_CHECKED.replace(latest(*_CLAIM_KEYS), latest(*_CLAIM_KEYS, all_null_keys=True))
+
 MEMBERS_CHECKED = _checked(
     f"""SELECT member_id, full_name, gender, TRY_CAST(dob AS DATE) AS dob, city, state, plan_id,
   TRY_CAST(risk_score AS DOUBLE) AS risk_score,

@@ -105,6 +105,13 @@ def _file_lineage(lake: Lake) -> DataFrame:
     )
 
 
+def _file_path(lake: Lake) -> DataFrame:
+    """The whole path of each row's file, up to the root that the query was given."""
+    events = add_lineage(table(lake.spark, lake.sf_dir, "events"), "events")
+    inside = F.endswith("source_file_path", F.lit(f"{lake.sf_dir.rstrip('/')}/events.parquet"))
+    return events.select("event_id", (inside | F.contains("source_file_path", F.lit("/events.parquet/"))).alias("in_table"))
+
+
 def _reject_reasons(lake: Lake) -> DataFrame:
     return lake.checked("claims").rows.select(
         "claim_id", "claim_line_id", "record_hash", REASON, OUTCOME
@@ -438,6 +445,7 @@ QUERIES: dict[str, Query] = {
         lambda lake: lake.view("claims").select("claim_id", "claim_line_id", BATCH, "record_hash")
     ),
     "bronze_file_lineage": _on_lake(_file_lineage),
+    "bronze_file_path": _on_lake(_file_path),
     "bronze_claims_csv": _round_trip("claims"),
     "bronze_providers_csv": _round_trip("providers"),
     "bronze_members_json": _round_trip("members"),
@@ -450,6 +458,9 @@ QUERIES: dict[str, Query] = {
     "claim_reject_reason": _on_lake(_reject_reasons),
     "silver_claims_valid": _on_lake(lambda lake: lake.checked("claims").valid),
     "silver_claims_rejects": _on_lake(lambda lake: lake.checked("claims").rejects),
+    "silver_claims_rejects_null_keys": _on_lake(
+        lambda lake: refine(lake.view("claims"), CLAIMS, keep_null_keys=True).rejects
+    ),
     "silver_members": _on_lake(lambda lake: lake.checked("members").valid),
     "silver_members_rejects": _on_lake(lambda lake: lake.checked("members").rejects),
     "silver_providers": _on_lake(lambda lake: lake.checked("providers").valid),
@@ -507,6 +518,7 @@ ORACLES: dict[str, str] = {
         " CAST(ts AS STRING), CAST(user_id AS STRING), event_type, CAST(value AS STRING), props))"
         " AS record_hash FROM events"
     ),
+    "bronze_file_path": "SELECT event_id, true AS in_table FROM events",
     "bronze_claims_csv": _bronze_sql("claims"),
     "bronze_providers_csv": _bronze_sql("providers"),
     "bronze_members_json": _bronze_sql("members"),
@@ -523,6 +535,7 @@ ORACLES: dict[str, str] = {
     ),
     "silver_claims_valid": sql.having(sql.CLAIMS_CHECKED, "valid"),
     "silver_claims_rejects": sql.having(sql.CLAIMS_CHECKED, "reject"),
+    "silver_claims_rejects_null_keys": sql.having(sql.CLAIMS_CHECKED_NULL_KEYS, "reject"),
     "silver_members": sql.having(sql.MEMBERS_CHECKED, "valid"),
     "silver_members_rejects": sql.having(sql.MEMBERS_CHECKED, "reject"),
     "silver_providers": sql.having(sql.PROVIDERS_CHECKED, "valid"),
