@@ -60,7 +60,17 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = shared_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.stored_path = path
+    return written
+
+
+def released(*frames: DataFrame) -> None:
+    """Delete the files of ``stored`` frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:

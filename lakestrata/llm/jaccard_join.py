@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import lower_ascii, stored, text_or_empty, window_hashes, word_hashes
+from lakestrata.llm.common import lower_ascii, released, stored, text_or_empty, window_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -19,25 +19,30 @@ COMMON = 1 << 16  # common shingles whose order is known; any order gives the sa
 
 
 def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = SHINGLE) -> DataFrame:
-    """id, ``th`` (hash of the text) and ``s``: the sorted distinct hashes of its shingles; without words none."""
+    """One row per row of ``docs``: id, ``th`` (hash of the text), ``s``, the sorted distinct hashes of its shingles
+    (without words none), and their bitmap ``g``."""
     body = F.xxhash64(text_or_empty(F.col(text))).alias("th")
     rows = docs.select(F.col(doc_id).alias("id"), body, word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh"))
 
-    @F.pandas_udf("array<long>")
-    def sets(hashes: pd.Series) -> pd.Series:
-        def one(h) -> np.ndarray:
+    @F.pandas_udf("struct<s array<long>, g array<long>>")
+    def sets(hashes: pd.Series) -> pd.DataFrame:
+        found, signatures = [], []
+        for h in hashes:
             h = np.asarray(h, np.int64).view(np.uint64)
-            return np.unique(window_hashes(h, min(n, len(h)) or 1).view(np.int64))
-
-        return hashes.map(one)
+            s = np.unique(window_hashes(h, min(n, len(h)) or 1).view(np.int64))
+            bits = np.zeros(LANES * 64, np.uint8)
+            bits[s.view(np.uint64) % np.uint64(LANES * 64)] = 1
+            found.append(s)
+            signatures.append(np.packbits(bits).view(np.int64))
+        return pd.DataFrame({"s": found, "g": signatures})
 
-    return rows.select("id", "th", sets("wh").alias("s"))
+    return rows.select("id", "th", sets("wh").alias("both")).select("id", "th", "both.s", "both.g")
 
 
 def common_shingles(sets: DataFrame) -> np.ndarray:
     """Up to ``COMMON`` shingles that are frequent, rarest first; bounds the driver's share and the closure.
 
-    Only the order of prefixes depends on it, never a result.
+    Copies count too, so that the sets need no shuffle before.  Only the order of prefixes depends on it, never a result.
     """
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,7 +58,7 @@ def common_shingles(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """One row per prefix shingle and size band: tile, band, id, n.
+    """row, ``p`` (the prefix shingles of its set) and ``bands``: its tiles are all pairs of both.
 
     Linked sets share a shingle among the first ``n - ceil(0.8 n) + 1`` of one order, and their sizes differ by
     a factor of 1 / 0.8 at most: each set visits its own band and the next, where its larger partners live.
@@ -64,40 +69,30 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                s = np.asarray(r.s, np.int64)
+            found, bands = [], []
+            for s in batch["s"]:
+                s = np.asarray(s, np.int64)
                 rank = np.zeros(len(s), np.int64)
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     rank = np.where(hashes[at] == s, by_hash[at] + 1, 0)
                 keep = len(s) - (percent * len(s) + 99) // 100 + 1
-                chosen = s[np.lexsort((s, rank))[:keep]]
+                found.append(s[np.lexsort((s, rank))[:keep]])
                 # A hair's breadth over the edge keeps rounding from parting two sets.
                 low, high = math.floor(math.log(len(s)) / step), math.floor(math.log(len(s)) / step + 1 + 1e-9)
-                for band in range(low, high + 1):
-                    yield pd.DataFrame({"tile": chosen, "band": band, "id": r.id})
-
-    return sets.where(F.size("s") > 0).mapInPandas(cut, "tile long, band int, id long")
+                bands.append(np.arange(low, high + 1, dtype=np.int32))
+            yield pd.DataFrame({"row": batch["row"], "p": found, "bands": bands})
 
+    filled = sets.where("id is not null and n > 0").select("row", "s")
+    return filled.mapInPandas(cut, "row long, p array<long>, bands array<int>")
 
-def signed_sets(sets: DataFrame) -> DataFrame:
-    """Sets with their size ``n`` and bitmap ``g``."""
-
-    @F.pandas_udf("array<long>")
-    def signature(s: pd.Series) -> pd.Series:
-        def one(found) -> np.ndarray:
-            bits = np.zeros(LANES * 64, np.uint8)
-            bits[np.asarray(found, np.int64).view(np.uint64) % np.uint64(LANES * 64)] = 1
-            return np.packbits(bits).view(np.int64)
 
-        return s.map(one)
+def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that are links: bounded from above by their bitmaps, then intersected.
 
-    return sets.select("id", "s", F.size("s").alias("n"), signature("s").alias("g"))
-
-
-def verified(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that are links: bounded from above by their bitmaps, then intersected."""
-    small = signed.select("id", "n", "g")
+    ``small`` has id, n and g; ``sets`` the shingles, fetched for the pairs that the bound leaves.  These are written
+    first, so Spark knows their size before it chooses how to join.
+    """
     left = small.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
     right = small.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
     # Each bit of one signature that the other lacks stands for an element that the other lacks.
@@ -107,8 +102,9 @@ def verified(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> Dat
     bound = F.least(F.col("na") - only(F.col("ga"), F.col("gb")), F.col("nb") - only(F.col("gb"), F.col("ga")))
     near = pairs.join(left, "a").join(right, "b")
     near = near.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
-    one = signed.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-    two = signed.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    near = stored(near, "near")
+    one = sets.select(F.col("row").alias("a"), F.col("s").alias("sa"))
+    two = sets.select(F.col("row").alias("b"), F.col("s").alias("sb"))
 
     @F.pandas_udf("long")
     def overlap(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -116,7 +112,9 @@ def verified(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> Dat
 
     exact = near.join(one, "a").join(two, "b").withColumn("common", overlap("sa", "sb"))
     linked = (100 + percent) * F.col("common") >= percent * (F.size("sa") + F.size("sb"))
-    return exact.where(linked).select("a", "b")
+    found = stored(exact.where(linked).select("a", "b"), "links")
+    released(near)
+    return found
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -134,10 +132,11 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         moved = stored(
             near.join(jump, "via", "left").select("id", "was", F.least("via", "far").alias("comp")), "labels"
         )
-        done = moved.where("comp <> was").limit(1).count() == 0
-        labels = moved.select("id", "comp")
-        if done:
-            return nodes.join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+        released(labels)
+        labels = moved
+        if moved.where("comp <> was").limit(1).count() == 0:
+            released(both)
+            return nodes.join(labels.drop("was"), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
 def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -149,32 +148,28 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     another component, so every pair that could still join two components is tested.  Null and empty texts
     link with nothing and are first; a null id gives itself null and is first.
     """
-    sets = stored(shingle_sets(docs, text, doc_id), "sets")
-    size, key = F.size("s").cast("long"), F.struct(F.size("s"), F.xxhash64("s"), F.hash("s"))
-    member = sets.select("id", "th", size.alias("n_shingles"), key.alias("k"))
-    filled = member.where("n_shingles > 0 and id is not null")
-    least = filled.groupBy("k").agg(F.min(F.struct("id", "th")).alias("rep"))
-    heads = stored(least.withColumn("node", F.monotonically_increasing_id()), "heads")  # numbers fixed by the write
-    reps = stored(
-        sets.where("size(s) > 0")
-        .withColumn("k", key)
-        .join(heads.select(F.col("rep.id").alias("id"), "k", "node"), ["id", "k"])
-        .select(F.col("node").alias("id"), "s")
-        .dropDuplicates(["id"]),
-        "representatives",
-    )
-    reps = stored(signed_sets(reps), "reps")
-    rows = stored(prefixes(reps, common_shingles(reps)), "tiles")
+    key = F.struct("n", F.xxhash64("s"), F.hash("s"))
+    sets = shingle_sets(docs, text, doc_id).withColumn("n", F.size("s")).withColumn("k", key)
+    sets = stored(sets.withColumn("row", F.monotonically_increasing_id()), "sets")  # numbers fixed by the write
+    member = sets.select("id", "th", F.col("n").cast("long").alias("n_shingles"), "k")
+    filled = sets.where("n > 0 and id is not null")
+    least = filled.groupBy("k").agg(F.min(F.struct("id", "th", "row")).alias("rep"))
+    heads = stored(least.select("k", F.struct("rep.id", "rep.th").alias("rep"), F.col("rep.row").alias("node")), "heads")
+    nodes = heads.select(F.col("node").alias("id"))
+    small = stored(sets.select(F.col("row").alias("id"), "n", "g").join(nodes, "id"), "signatures")
+    cuts = prefixes(sets, common_shingles(filled)).withColumnRenamed("row", "id").join(nodes, "id")
+    rows = cuts.select("id", "bands", F.explode("p").alias("tile")).select("tile", F.explode("bands").alias("band"), "id")
+    rows = stored(rows, "tiles")
     tiles = rows.groupBy("tile", "band").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
     tiles = stored(tiles.drop("hi"), "shared-tiles")
     live = stored(rows.join(tiles, ["tile", "band"]).select("tile", "band", "a", "id"), "live")
-    stars = live.where("a < id").select("a", F.col("id").alias("b")).distinct()
-    first = stored(verified(stars, reps), "first")
-    nodes = reps.select("id")
+    released(rows, tiles)
+    first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, sets)
     comp = stored(components(nodes, first), "components")
     placed = live.join(comp, "id").select("tile", "band", "id", "comp")
     mixed = placed.groupBy("tile", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     open_rows = stored(placed.join(mixed.drop("lo", "hi"), ["tile", "band"]), "open")
+    released(live)
     most = open_rows.groupBy("tile", "band", "comp").agg(F.count("*").alias("n"))
     most = most.groupBy("tile", "band").agg(F.max(F.struct("n", "comp")).getField("comp").alias("main"))
     minor = open_rows.join(most, ["tile", "band"]).where("comp <> main").select(
@@ -182,10 +177,11 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     cross = minor.join(open_rows, ["tile", "band"]).where("cx <> comp")
     cross = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    cross = cross.join(first, ["a", "b"], "left_anti")
-    second = verified(cross, reps)
+    second = verified(cross.join(first, ["a", "b"], "left_anti"), small, sets)
+    released(open_rows, small, first)
     star = comp.where("comp <> id").select(F.col("comp").alias("a"), F.col("id").alias("b"))
-    final = components(nodes, star.union(second))
+    final = stored(components(nodes, star.union(second)), "components")
+    released(comp, second)
     placed = heads.join(final.withColumnRenamed("id", "node"), "node")
     chosen = placed.groupBy("comp").agg(F.min(F.struct("rep", "k")).alias("chosen"))
     texts = placed.join(chosen, "comp").select("k", "chosen")
@@ -210,6 +206,7 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Rows of one id and one text are one document and stay or go together; a null id always stays.
     """
-    others = grouped(docs).where(~F.col("first")).select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
+    others = grouped(docs).where(~F.col("first")).select(F.col("id").alias("__id"), F.col("th").alias("__th"))
+    others = stored(others.distinct(), "others")  # Spark then knows its size
     same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text_or_empty(F.col("text"))) == F.col("__th"))
     return docs.join(others, same, "left_anti")
