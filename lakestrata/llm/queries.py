@@ -111,7 +111,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op5_license_scan": license_scan.ORACLE,
+    "op5_license_scan": license_scan.oracle(),
     "op11_merkle_manifest": merkle_manifest.oracle(),
     "op12_topk_search": topk_search.ORACLE,
     "op13_hard_negatives": hard_negatives.ORACLE,
