@@ -15,6 +15,7 @@ from lakestrata.llm.common import lower_ascii, released, stored, text_or_empty,
 SHINGLE = 5
 PERCENT = 80
 LANES = 16  # signature: LANES words of 64 bits
+WIDTH = 3  # steps of a factor 1 / 0.8 in size that a band spans
 COMMON = 1 << 16  # common shingles whose order is known; any order gives the same result
 
 
@@ -61,11 +62,12 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
     """row, ``p`` (the prefix shingles of its set) and ``bands``: its tiles are all pairs of both.
 
     Linked sets share a shingle among the first ``n - ceil(0.8 n) + 1`` of one order, and their sizes differ by
-    a factor of 1 / 0.8 at most: each set visits its own band and the next, where its larger partners live.
+    a factor of 1 / 0.8 at most: each set visits its own band and that of its largest partners, the same or the next.
     """
     by_hash = np.argsort(common, kind="stable")
     hashes = common[by_hash]
     step = math.log(100 / percent)
+    place = lambda size: math.log(size) / (WIDTH * step)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -79,7 +81,7 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
                 keep = len(s) - (percent * len(s) + 99) // 100 + 1
                 found.append(s[np.lexsort((s, rank))[:keep]])
                 # A hair's breadth over the edge keeps rounding from parting two sets.
-                low, high = math.floor(math.log(len(s)) / step), math.floor(math.log(len(s)) / step + 1 + 1e-9)
+                low, high = math.floor(place(len(s))), math.floor(place(len(s) * 100 / percent) + 1e-9)
                 bands.append(np.arange(low, high + 1, dtype=np.int32))
             yield pd.DataFrame({"row": batch["row"], "p": found, "bands": bands})
 
@@ -103,8 +105,10 @@ def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int =
     near = pairs.join(left, "a").join(right, "b")
     near = near.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
     near = stored(near, "near")
-    one = sets.select(F.col("row").alias("a"), F.col("s").alias("sa"))
-    two = sets.select(F.col("row").alias("b"), F.col("s").alias("sb"))
+    asked = stored(near.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
+    asked_sets = sets.select("row", "s").join(asked, "row", "left_semi")
+    one = asked_sets.select(F.col("row").alias("a"), F.col("s").alias("sa"))
+    two = asked_sets.select(F.col("row").alias("b"), F.col("s").alias("sb"))
 
     @F.pandas_udf("long")
     def overlap(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -113,7 +117,7 @@ def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int =
     exact = near.join(one, "a").join(two, "b").withColumn("common", overlap("sa", "sb"))
     linked = (100 + percent) * F.col("common") >= percent * (F.size("sa") + F.size("sb"))
     found = stored(exact.where(linked).select("a", "b"), "links")
-    released(near)
+    released(near, asked)
     return found
 
 
@@ -158,24 +162,25 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     nodes = heads.select(F.col("node").alias("id"))
     small = stored(sets.select(F.col("row").alias("id"), "n", "g").join(nodes, "id"), "signatures")
     cuts = prefixes(sets, common_shingles(filled)).withColumnRenamed("row", "id").join(nodes, "id")
-    rows = cuts.select("id", "bands", F.explode("p").alias("tile")).select("tile", F.explode("bands").alias("band"), "id")
-    rows = stored(rows, "tiles")
-    tiles = rows.groupBy("tile", "band").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
+    rows = cuts.select("id", "bands", F.explode("p").alias("shingle")).select("id", "shingle", F.explode("bands").alias("band"))
+    # One number per shingle and band: tiles that fall together only add candidates.
+    rows = stored(rows.select(F.xxhash64("shingle", "band").alias("tile"), "id"), "tiles")
+    tiles = rows.groupBy("tile").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
     tiles = stored(tiles.drop("hi"), "shared-tiles")
-    live = stored(rows.join(tiles, ["tile", "band"]).select("tile", "band", "a", "id"), "live")
+    live = stored(rows.join(tiles, "tile").select("tile", "a", "id"), "live")
     released(rows, tiles)
     first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, sets)
     comp = stored(components(nodes, first), "components")
-    placed = live.join(comp, "id").select("tile", "band", "id", "comp")
-    mixed = placed.groupBy("tile", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    open_rows = stored(placed.join(mixed.drop("lo", "hi"), ["tile", "band"]), "open")
+    placed = live.join(comp, "id").select("tile", "id", "comp")
+    mixed = placed.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    open_rows = stored(placed.join(mixed.drop("lo", "hi"), "tile"), "open")
     released(live)
-    most = open_rows.groupBy("tile", "band", "comp").agg(F.count("*").alias("n"))
-    most = most.groupBy("tile", "band").agg(F.max(F.struct("n", "comp")).getField("comp").alias("main"))
-    minor = open_rows.join(most, ["tile", "band"]).where("comp <> main").select(
-        "tile", "band", F.col("id").alias("x"), F.col("comp").alias("cx")
+    most = open_rows.groupBy("tile", "comp").agg(F.count("*").alias("n"))
+    most = most.groupBy("tile").agg(F.max(F.struct("n", "comp")).getField("comp").alias("main"))
+    minor = open_rows.join(most, "tile").where("comp <> main").select(
+        "tile", F.col("id").alias("x"), F.col("comp").alias("cx")
     )
-    cross = minor.join(open_rows, ["tile", "band"]).where("cx <> comp")
+    cross = minor.join(open_rows, "tile").where("cx <> comp")
     cross = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
     second = verified(cross.join(first, ["a", "b"], "left_anti"), small, sets)
     released(open_rows, small, first)

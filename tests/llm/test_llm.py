@@ -221,3 +221,26 @@ def test_empty_tables(docs):
     assert packing.packed(none, tokenizer_file()).count() == 0
     assert token_ids.round_trip(none, tokenizer_file()).count() == 0
     assert jaccard_join.linked_components(none).count() == 0
+
+
+def test_jaccard_equals_brute_force_at_the_limit(spark):
+    """Sizes on both sides of band borders, pairs just over and just under 80 percent, copies and shared passages."""
+    rng, rows = np.random.default_rng(9), []
+    shared = run_of(400, 40)
+    for k, n in enumerate([6, 9, 20, 37, 40, 47, 73, 90, 143, 160, 220, 300]):
+        base = run_of(500 + k, n)
+        rows += [base, base, base + " " + run_of(600 + k, n // 5 + 1), base + " " + run_of(700 + k, n // 4 - 1),
+                 base + " " + run_of(800 + k, n // 4 + 2), shared + " " + base]
+        words = base.split(" ")
+        words[int(rng.integers(n))] = "other"
+        rows.append(" ".join(words))
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for w in map(str.split, rows)]
+    comp = list(range(len(rows)))
+    for _ in rows:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs).collect()}
+    assert got == {k: (len(s), c) for k, (s, c) in enumerate(zip(sets, comp))}
