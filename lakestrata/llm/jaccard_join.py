@@ -15,6 +15,7 @@ from lakestrata.llm.common import lower_ascii, released, stored, text_or_empty,
 SHINGLE = 5
 PERCENT = 80
 LANES = 16  # signature: LANES words of 64 bits
+SLICE = 512  # rows that a worker returns at once; bounds its memory
 WIDTH = 3  # steps of a factor 1 / 0.8 in size that a band spans
 COMMON = 1 << 16  # common shingles whose order is known; any order gives the same result
 
@@ -25,19 +26,21 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     body = F.xxhash64(text_or_empty(F.col(text))).alias("th")
     rows = docs.select(F.col(doc_id).alias("id"), body, word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh"))
 
-    @F.pandas_udf("struct<s array<long>, g array<long>>")
-    def sets(hashes: pd.Series) -> pd.DataFrame:
-        found, signatures = [], []
-        for h in hashes:
-            h = np.asarray(h, np.int64).view(np.uint64)
-            s = np.unique(window_hashes(h, min(n, len(h)) or 1).view(np.int64))
-            bits = np.zeros(LANES * 64, np.uint8)
-            bits[s.view(np.uint64) % np.uint64(LANES * 64)] = 1
-            found.append(s)
-            signatures.append(np.packbits(bits).view(np.int64))
-        return pd.DataFrame({"s": found, "g": signatures})
-
-    return rows.select("id", "th", sets("wh").alias("both")).select("id", "th", "both.s", "both.g")
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), SLICE):
+                part, found, signatures = batch.iloc[lo : lo + SLICE], [], []
+                for h in part["wh"]:
+                    h = np.asarray(h, np.int64).view(np.uint64)
+                    s = np.unique(window_hashes(h, min(n, len(h)) or 1).view(np.int64))
+                    bits = np.zeros(LANES * 64, np.uint8)
+                    bits[s.view(np.uint64) % np.uint64(LANES * 64)] = 1
+                    found.append(s)
+                    signatures.append(np.packbits(bits).view(np.int64))
+                yield pd.DataFrame({"id": part["id"].array, "th": part["th"].array, "s": found, "g": signatures})
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return rows.mapInPandas(sets, f"id {kind}, th long, s array<long>, g array<long>")
 
 
 def common_shingles(sets: DataFrame) -> np.ndarray:
