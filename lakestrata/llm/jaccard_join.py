@@ -24,7 +24,9 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     """One row per row of ``docs``: id, ``th`` (hash of the text), ``s``, the sorted distinct hashes of its shingles
     (without words none), and their bitmap ``g``."""
     body = F.xxhash64(text_or_empty(F.col(text))).alias("th")
-    rows = docs.select(F.col(doc_id).alias("id"), body, word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh"))
+    hashes = word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh")
+    # Ids travel as text: pandas would make doubles of long ids among which one is null.
+    rows = docs.select(F.col(doc_id).cast("string").alias("id"), body, hashes)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -40,7 +42,8 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
                 yield pd.DataFrame({"id": part["id"].array, "th": part["th"].array, "s": found, "g": signatures})
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInPandas(sets, f"id {kind}, th long, s array<long>, g array<long>")
+    found = rows.mapInPandas(sets, "id string, th long, s array<long>, g array<long>")
+    return found.withColumn("id", F.col("id").cast(kind))
 
 
 def common_shingles(sets: DataFrame) -> np.ndarray:

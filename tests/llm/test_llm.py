@@ -244,3 +244,10 @@ def test_jaccard_equals_brute_force_at_the_limit(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r.id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs).collect()}
     assert got == {k: (len(s), c) for k, (s, c) in enumerate(zip(sets, comp))}
+
+
+def test_jaccard_keeps_long_ids_beside_null(spark):
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(big, run_of(900, 30)), (None, run_of(901, 30)), (big + 2, run_of(900, 30))], "doc_id long, text string")
+    got = {(r.id, r.component_id) for r in jaccard_join.linked_components(docs.coalesce(1)).collect()}
+    assert got == {(big, big), (None, None), (big + 2, big)}
