@@ -74,15 +74,20 @@ def released(*frames: DataFrame) -> None:
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``length`` word hashes (polynomial modulo 2**64, then mixed)."""
+    """A 64-bit hash of each run of ``length`` word hashes (polynomial modulo 2**64, then mixed).
+
+    The base is odd, so it has an inverse and a run's polynomial is a difference of two prefix sums.
+    """
     n = len(hashes) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
+    base = 0x9E3779B97F4A7C15
     with np.errstate(over="ignore"):
-        base = np.uint64(0x9E3779B97F4A7C15)
-        h = np.zeros(n, np.uint64)
-        for k in range(length):
-            h = h * base + hashes[k : k + n]
+        down = np.full(len(hashes), pow(base, -1, 1 << 64), np.uint64).cumprod()
+        up = np.full(n, base, np.uint64)
+        up[0] = pow(base, length, 1 << 64)
+        sums = np.concatenate([np.zeros(1, np.uint64), (hashes * down).cumsum()])
+        h = (sums[length:] - sums[:-length]) * up.cumprod()
         h ^= h >> np.uint64(30)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(27)
