@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,24 @@ def released(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def chunks(column: pa.ListArray, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows lo to hi of a column of arrays of longs, their values one behind the other, and where each row ends there.
+
+    A chunk has at most ``limit`` values, or one row with more.
+    """
+    offsets = column.offsets.to_numpy()
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
+        values = column.values.slice(offsets[lo], offsets[hi] - offsets[lo]).to_numpy(zero_copy_only=False)
+        yield lo, hi, values, (offsets[lo + 1 : hi + 1] - offsets[lo]).astype(np.int64)
+        lo = hi
+
+
+def longs(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64), pa.int64())
+
+
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of each run of ``length`` word hashes (polynomial modulo 2**64, then mixed).
 

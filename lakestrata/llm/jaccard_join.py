@@ -7,15 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import lower_ascii, released, stored, text_or_empty, window_hashes, word_hashes
+from lakestrata.llm.common import chunks, longs, lower_ascii, released, stored, text_or_empty, window_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
 LANES = 16  # signature: LANES words of 64 bits
-SLICE = 512  # rows that a worker returns at once; bounds its memory
+CHUNK = 1 << 19  # words that a worker handles at once; bounds its memory
 WIDTH = 3  # steps of a factor 1 / 0.8 in size that a band spans
 COMMON = 1 << 16  # common shingles whose order is known; any order gives the same result
 
@@ -25,25 +26,32 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     (without words none), and their bitmap ``g``."""
     body = F.xxhash64(text_or_empty(F.col(text))).alias("th")
     hashes = word_hashes(lower_ascii(text_or_empty(F.col(text)))).alias("wh")
-    # Ids travel as text: pandas would make doubles of long ids among which one is null.
-    rows = docs.select(F.col(doc_id).cast("string").alias("id"), body, hashes)
+    rows = docs.select(F.col(doc_id).alias("id"), body, hashes)
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), SLICE):
-                part, found, signatures = batch.iloc[lo : lo + SLICE], [], []
-                for h in part["wh"]:
-                    h = np.asarray(h, np.int64).view(np.uint64)
+            for lo, hi, values, ends in chunks(batch.column("wh"), CHUNK):
+                found, signatures = [], np.empty((hi - lo, LANES), np.int64)
+                for k, h in enumerate(np.split(values.view(np.uint64), ends[:-1])):
                     s = np.unique(window_hashes(h, min(n, len(h)) or 1).view(np.int64))
                     bits = np.zeros(LANES * 64, np.uint8)
                     bits[s.view(np.uint64) % np.uint64(LANES * 64)] = 1
                     found.append(s)
-                    signatures.append(np.packbits(bits).view(np.int64))
-                yield pd.DataFrame({"id": part["id"].array, "th": part["th"].array, "s": found, "g": signatures})
+                    signatures[k] = np.packbits(bits).view(np.int64)
+                edges = np.cumsum([0] + [len(s) for s in found]).astype(np.int32)
+                lanes = np.arange(0, signatures.size + 1, LANES, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").slice(lo, hi - lo),
+                        batch.column("th").slice(lo, hi - lo),
+                        pa.ListArray.from_arrays(pa.array(edges), longs(np.concatenate(found))),
+                        pa.ListArray.from_arrays(pa.array(lanes), longs(signatures.ravel())),
+                    ],
+                    ["id", "th", "s", "g"],
+                )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    found = rows.mapInPandas(sets, "id string, th long, s array<long>, g array<long>")
-    return found.withColumn("id", F.col("id").cast(kind))
+    return rows.mapInArrow(sets, f"id {kind}, th long, s array<long>, g array<long>")
 
 
 def common_shingles(sets: DataFrame) -> np.ndarray:

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import released, stored, text_or_empty, window_hashes, word_hashes, words
+from lakestrata.llm.common import chunks, longs, released, stored, text_or_empty, window_hashes, word_hashes, words
 
 LENGTH = 50  # words of the shortest factor that is removed
 ANCHOR = 20  # words of an anchor
-CHUNK = 1 << 19  # words that a worker handles at once, or one longer document
+CHUNK = 1 << 19  # words that a worker handles at once
 
 
 def window_minima(values: np.ndarray, span: int) -> np.ndarray:
@@ -51,21 +51,6 @@ def phrases_of(hashes: np.ndarray, ends: np.ndarray, length: int, anchor: int =
     return text[at], starts[at], np.diff(np.append(at, len(starts))), least[at]
 
 
-def chunks(column: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows lo to hi of an array column, their values one behind the other, and where each row ends in them."""
-    offsets = column.offsets.to_numpy()
-    lo = 0
-    while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, side="right")) - 1)
-        values = column.values.slice(offsets[lo], offsets[hi] - offsets[lo]).to_numpy(zero_copy_only=False)
-        yield lo, hi, values, (offsets[lo + 1 : hi + 1] - offsets[lo]).astype(np.int64)
-        lo = hi
-
-
-def longs(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64), pa.int64())
-
-
 def mixed(text: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     return anchor * np.uint64(0x9E3779B97F4A7C15) + text.astype(np.uint64)
 
@@ -88,7 +73,7 @@ def parsed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, values, ends in chunks(batch.column("wh")):
+            for lo, _, values, ends in chunks(batch.column("wh"), CHUNK):
                 owner, _, _, least = phrases_of(values.view(np.uint64), ends, length)
                 at = pa.array(owner + lo)
                 columns = [longs(least), batch.column("id").take(at), batch.column("th").take(at)]
@@ -103,7 +88,7 @@ def parsed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = batch.column("hit")
-            for lo, hi, values, ends in chunks(batch.column("wh")):
+            for lo, hi, values, ends in chunks(batch.column("wh"), CHUNK):
                 values = values.view(np.uint64)
                 owner, start, n, least = phrases_of(values, ends, length)
                 part = hit.slice(lo, hi - lo)
