@@ -67,11 +67,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 
 
 def released(*frames: DataFrame) -> None:
-    """Delete the files of ``stored`` frames that nothing reads any more."""
+    """Delete the files of ``stored`` frames that nothing reads any more, and the shuffle files of finished steps.
+
+    Spark deletes a shuffle's files once the driver's collector has dropped its plan, which may be half an hour later;
+    asking for a collection keeps a job of many steps from holding the shuffles of all of them.
+    """
     for df in frames:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
 
 
 def chunks(column: pa.ListArray, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
