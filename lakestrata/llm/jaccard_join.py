@@ -57,7 +57,7 @@ def shingle_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
 def common_shingles(sets: DataFrame) -> np.ndarray:
     """Up to ``COMMON`` shingles that are frequent, rarest first; bounds the driver's share and the closure.
 
-    Copies count too, so that the sets need no shuffle before.  Only the order of prefixes depends on it, never a result.
+    Only the order of prefixes depends on it, never a result.
     """
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,8 +99,7 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
                 bands.append(np.arange(low, high + 1, dtype=np.int32))
             yield pd.DataFrame({"row": batch["row"], "p": found, "bands": bands})
 
-    filled = sets.where("id is not null and n > 0").select("row", "s")
-    return filled.mapInPandas(cut, "row long, p array<long>, bands array<int>")
+    return sets.select("row", "s").mapInPandas(cut, "row long, p array<long>, bands array<int>")
 
 
 def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -169,13 +168,15 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     key = F.struct("n", F.xxhash64("s"), F.hash("s"))
     sets = shingle_sets(docs, text, doc_id).withColumn("n", F.size("s")).withColumn("k", key)
     sets = stored(sets.withColumn("row", F.monotonically_increasing_id()), "sets")  # numbers fixed by the write
-    member = sets.select("id", "th", F.col("n").cast("long").alias("n_shingles"), "k")
-    filled = sets.where("n > 0 and id is not null")
-    least = filled.groupBy("k").agg(F.min(F.struct("id", "th", "row")).alias("rep"))
+    member = stored(sets.select("id", "th", F.col("n").cast("long").alias("n_shingles"), "k"), "members")
+    least = sets.where("n > 0 and id is not null").groupBy("k").agg(F.min(F.struct("id", "th", "row")).alias("rep"))
     heads = stored(least.select("k", F.struct("rep.id", "rep.th").alias("rep"), F.col("rep.row").alias("node")), "heads")
-    nodes = heads.select(F.col("node").alias("id"))
-    small = stored(sets.select(F.col("row").alias("id"), "n", "g").join(nodes, "id"), "signatures")
-    cuts = prefixes(sets, common_shingles(filled)).withColumnRenamed("row", "id").join(nodes, "id")
+    nodes = stored(heads.select(F.col("node").alias("row")), "nodes")
+    distinct = stored(sets.select("row", "n", "s", "g").join(nodes, "row"), "distinct-sets")
+    released(sets)
+    nodes = nodes.withColumnRenamed("row", "id")
+    small = distinct.select(F.col("row").alias("id"), "n", "g")
+    cuts = prefixes(distinct, common_shingles(distinct)).withColumnRenamed("row", "id")
     rows = cuts.select("id", "bands", F.explode("p").alias("shingle")).select("id", "shingle", F.explode("bands").alias("band"))
     # One number per shingle and band: tiles that fall together only add candidates.
     rows = stored(rows.select(F.xxhash64("shingle", "band").alias("tile"), "id"), "tiles")
@@ -183,7 +184,7 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     tiles = stored(tiles.drop("hi"), "shared-tiles")
     live = stored(rows.join(tiles, "tile").select("tile", "a", "id"), "live")
     released(rows, tiles)
-    first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, sets)
+    first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, distinct)
     comp = stored(components(nodes, first), "components")
     placed = live.join(comp, "id").select("tile", "id", "comp")
     mixed = placed.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
@@ -196,8 +197,8 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     cross = minor.join(open_rows, "tile").where("cx <> comp")
     cross = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    second = verified(cross.join(first, ["a", "b"], "left_anti"), small, sets)
-    released(open_rows, small, first)
+    second = verified(cross.join(first, ["a", "b"], "left_anti"), small, distinct)
+    released(open_rows, distinct, first)
     star = comp.where("comp <> id").select(F.col("comp").alias("a"), F.col("id").alias("b"))
     final = stored(components(nodes, star.union(second)), "components")
     released(comp, second)
