@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -103,11 +103,11 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
     return filled.mapInPandas(cut, "row long, p array<long>, bands array<int>")
 
 
-def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, small: DataFrame, fetch: Callable, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are links: bounded from above by their bitmaps, then intersected.
 
-    ``small`` has id, n and g; ``sets`` the shingles, fetched for the pairs that the bound leaves.  These are written
-    first, so Spark knows their size before it chooses how to join.
+    ``small`` has id, n and g; ``fetch`` makes the sets (row, s) of the rows that are in a pair that the bound leaves.
+    These are written first, so Spark knows their size before it chooses how to join.
     """
     left = small.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
     right = small.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
@@ -120,7 +120,7 @@ def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int =
     near = near.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
     near = stored(near, "near")
     asked = stored(near.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
-    asked_sets = sets.select("row", "s").join(asked, "row", "left_semi")
+    asked_sets = stored(fetch(asked), "asked-sets")
     one = asked_sets.select(F.col("row").alias("a"), F.col("s").alias("sa"))
     two = asked_sets.select(F.col("row").alias("b"), F.col("s").alias("sb"))
 
@@ -131,7 +131,7 @@ def verified(pairs: DataFrame, small: DataFrame, sets: DataFrame, percent: int =
     exact = near.join(one, "a").join(two, "b").withColumn("common", overlap("sa", "sb"))
     linked = (100 + percent) * F.col("common") >= percent * (F.size("sa") + F.size("sb"))
     found = stored(exact.where(linked).select("a", "b"), "links")
-    released(near, asked)
+    released(near, asked, asked_sets)
     return found
 
 
@@ -169,21 +169,32 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     key = F.struct("n", F.xxhash64("s"), F.hash("s"))
     sets = shingle_sets(docs, text, doc_id).withColumn("n", F.size("s")).withColumn("k", key)
     sets = stored(sets.withColumn("row", F.monotonically_increasing_id()), "sets")  # numbers fixed by the write
-    member = sets.select("id", "th", F.col("n").cast("long").alias("n_shingles"), "k")
+    member = stored(sets.select("id", "th", F.col("n").cast("long").alias("n_shingles"), "k"), "members")
     filled = sets.where("n > 0 and id is not null")
     least = filled.groupBy("k").agg(F.min(F.struct("id", "th", "row")).alias("rep"))
     heads = stored(least.select("k", F.struct("rep.id", "rep.th").alias("rep"), F.col("rep.row").alias("node")), "heads")
-    nodes = heads.select(F.col("node").alias("id"))
+    nodes = stored(heads.select(F.col("node").alias("id")), "nodes")
     small = stored(sets.select(F.col("row").alias("id"), "n", "g").join(nodes, "id"), "signatures")
     cuts = prefixes(sets, common_shingles(filled)).withColumnRenamed("row", "id").join(nodes, "id")
+    cuts = stored(cuts, "prefixes")
+    released(sets)  # the largest table; sets are made again for candidate pairs only
+
+    def fetch(asked: DataFrame) -> DataFrame:
+        reps = heads.select(F.col("node").alias("row"), F.col("rep.id").alias("i"), F.col("rep.th").alias("h"))
+        reps = stored(reps.join(asked, "row"), "asked-texts")
+        body = docs.select(F.col(doc_id).alias("d"), text_or_empty(F.col(text)).alias("body"))
+        held = body.join(reps, (F.col("d") == F.col("i")) & (F.xxhash64("body") == F.col("h")))
+        held = held.groupBy("row").agg(F.first("body").alias("body"))  # repeated rows have one text
+        return shingle_sets(held, "body", "row").select(F.col("id").alias("row"), "s")
+
     rows = cuts.select("id", "bands", F.explode("p").alias("shingle")).select("id", "shingle", F.explode("bands").alias("band"))
     # One number per shingle and band: tiles that fall together only add candidates.
     rows = stored(rows.select(F.xxhash64("shingle", "band").alias("tile"), "id"), "tiles")
     tiles = rows.groupBy("tile").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a < hi")
     tiles = stored(tiles.drop("hi"), "shared-tiles")
     live = stored(rows.join(tiles, "tile").select("tile", "a", "id"), "live")
-    released(rows, tiles)
-    first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, sets)
+    released(rows, tiles, cuts)
+    first = verified(live.where("a < id").select("a", F.col("id").alias("b")).distinct(), small, fetch)
     comp = stored(components(nodes, first), "components")
     placed = live.join(comp, "id").select("tile", "id", "comp")
     mixed = placed.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
@@ -196,7 +207,7 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     cross = minor.join(open_rows, "tile").where("cx <> comp")
     cross = cross.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    second = verified(cross.join(first, ["a", "b"], "left_anti"), small, sets)
+    second = verified(cross.join(first, ["a", "b"], "left_anti"), small, fetch)
     released(open_rows, small, first)
     star = comp.where("comp <> id").select(F.col("comp").alias("a"), F.col("id").alias("b"))
     final = stored(components(nodes, star.union(second)), "components")
