@@ -9,6 +9,8 @@ retried tasks and lost executors all agree on them.
 
 The partitioner cuts at a sample of bounded size (its own setting,
 ``spark.sql.execution.rangeExchange.sampleSizePerPartition`` rows per range).
+The sample and a report of every range's task go to the driver, so the number
+of ranges is bounded; beyond it ranges get longer and their tasks sort on disk.
 The order ends in a column that differs from row to row, so a value on any
 share of the rows is parted like any other.
 """
@@ -30,6 +32,9 @@ ROW = "_row"
 # Fixed value: a generated row number holds its task above this many bits.
 TASK_BITS = 33
 
+# What the driver receives grows with the number of ranges, not with the rows.
+MOST_RANGES = 1000
+
 
 def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in columns]
@@ -48,14 +53,15 @@ def in_order(
     Ranges and the places inside them ascend with the order.  ``unique`` says
     that no two rows agree on all of ``order``; otherwise rows are numbered and
     written first, and the number is the last tie.  ``ranges`` fixes their
-    number; by default it is the session's number of shuffle partitions, of
-    which adaptive execution joins small neighbours.  Runs when called.
+    number, up to ``MOST_RANGES``; by default it is the session's number of
+    shuffle partitions, of which adaptive execution joins small neighbours.
+    Runs when called.
     """
     if not unique:
         df = with_row_numbers(df, "numbered")
         order = [*order, ROW]
     by = ascending(order)
-    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    dealt = df.repartitionByRange(min(ranges, MOST_RANGES), *by) if ranges else df.repartitionByRange(*by)
     placed = dealt.sortWithinPartitions(*by).withColumn(PLACE, F.monotonically_increasing_id())
     rows = written(placed, "ordered").withColumn(RANGE, F.shiftright(PLACE, TASK_BITS))
     return rows if unique else rows.drop(ROW)

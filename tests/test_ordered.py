@@ -84,6 +84,14 @@ def test_the_sample_of_the_cuts_is_bounded(spark):
     assert 0 < per_range <= 1000
 
 
+def test_the_number_of_ranges_is_bounded(spark):
+    """Each range sends its sample and its task's report to the driver, so a large table gets no more of them."""
+    df = spark.range(6000, numPartitions=4).select((F.col("id") * 7919 % 6007).alias("k"))
+    assert in_order(df, ["k"], unique=True, ranges=3000).select(RANGE).distinct().count() <= 1000
+    keyed = add_surrogate_key(df, ["k"], "sk", unique=True, ranges=3000)
+    assert keyed.join(_numbered(df, ["k"]), "k").where("sk = n").count() == 6000
+
+
 def test_places_ascend_with_the_order_over_all_ranges(spark):
     df = _mixed(spark, 5000)
     rows = in_order(df, ["name", "at", "id"], unique=True, ranges=9)
