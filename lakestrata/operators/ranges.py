@@ -45,6 +45,21 @@ def with_row_numbers(df: DataFrame, what: str) -> DataFrame:
     return written(df.withColumn(ROW, F.monotonically_increasing_id()), what)
 
 
+def packed(df: DataFrame, digest: str) -> DataFrame:
+    """A column of hexadecimal digests as bytes, half as long to move; ``unpacked`` gives it back.
+
+    Text that is no lower-case hexadecimal stays text, so every value comes back as it was.
+    """
+    value = F.col(f"`{digest}`")
+    raw = F.when(value.rlike("^([0-9a-f]{2})+$") & ~value.endswith("\n"), F.unhex(value))
+    return df.withColumns({f"_{digest}_bytes": raw, digest: F.when(raw.isNull(), value)})
+
+
+def unpacked(df: DataFrame, digest: str) -> DataFrame:
+    text = F.coalesce(F.lower(F.hex(f"_{digest}_bytes")), F.col(f"`{digest}`"))
+    return df.withColumn(digest, text).drop(f"_{digest}_bytes")
+
+
 def in_order(
     df: DataFrame, order: Sequence[str], *, unique: bool = False, ranges: int | None = None
 ) -> DataFrame:

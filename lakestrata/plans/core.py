@@ -1,6 +1,7 @@
 """Core model: current dimensions and the two facts.
 
-Surrogate keys are assigned to the narrow silver rows before the lookups.
+A fact's rows are written once with a row number.  Surrogate keys and lookups
+work on the ids alone; the other columns shuffle once, to fetch what was found.
 Business keys are unique in silver, so the order needs no tie-breakers.
 ``ranges`` is passed on to ``add_surrogate_key``.  The ``*_measures`` are the
 facts without keys: what marts read, without ordering, lookups or writing.
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from lakestrata.functions.columns import indicator, name_part, year_month
 from lakestrata.operators.conform import Field, plain, project
 from lakestrata.operators.lookup import lookup
+from lakestrata.operators.ranges import ROW, packed, unpacked, with_row_numbers
 from lakestrata.operators.surrogate import add_surrogate_key
 from lakestrata.plans.domains import (
     CLAIM_FACT_COLUMNS,
@@ -68,10 +70,11 @@ def claim_fact(
     which the marts then count; by default the fact does not hold it.
     """
     line = ["claim_id", "claim_line_id"]
-    rows = project(claims, _claim_fields(carry_emergency))
-    placed = add_surrogate_key(rows, line, "claim_sk", unique=True, ranges=ranges)
+    rows, ids = _numbered(project(claims, _claim_fields(carry_emergency)), [*line, "member_id", "provider_id"])
+    placed = add_surrogate_key(ids, line, "claim_sk", unique=True, ranges=ranges)
     placed = lookup(placed, members, ["member_id"], ["member_sk"], spread_by=line)
     placed = lookup(placed, providers, ["provider_id"], ["provider_current_sk"], spread_by=line)
+    placed = _with_rest(placed, rows)
 
     names = [field.name for field in CLAIM_FACT_COLUMNS]
     order = [*line, "member_sk", "provider_current_sk", *names[2:]]
@@ -98,16 +101,29 @@ def payment_fact(
     rows = project(payments, PAYMENT_FACT_COLUMNS)
     if resolve_by_claim:
         rows = _resolved(rows, claims)
-    placed = add_surrogate_key(rows, by, "payment_sk", unique=True, ranges=ranges)
+    rows, ids = _numbered(rows, [*by, *line, "member_id", "provider_id"])
+    placed = add_surrogate_key(ids, by, "payment_sk", unique=True, ranges=ranges)
     placed = lookup(placed, claims, line, ["claim_sk"], spread_by=by)
     placed = lookup(placed, members, ["member_id"], ["member_sk"], spread_by=by)
     placed = lookup(placed, providers, ["provider_id"], ["provider_current_sk"], spread_by=by)
+    placed = _with_rest(placed, rows)
 
     names = [field.name for field in PAYMENT_FACT_COLUMNS]
     order = [*by, "claim_sk", "member_sk", "provider_current_sk", *names[1:]]
     return _finish(placed, order, _payment_derived(), "payment_sk")
 
 
+def _numbered(rows: DataFrame, ids: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows, written with a row number, and their ids with that number."""
+    stored = with_row_numbers(packed(rows, "record_hash"), "fact")
+    return stored.drop(*ids), stored.select(ROW, *ids)
+
+
+def _with_rest(placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ids with what was found for them, and the other columns of their rows."""
+    return unpacked(placed.join(rows, ROW), "record_hash").drop(ROW)
+
+
 def _resolved(payments: DataFrame, claims: DataFrame) -> DataFrame:
     """Payments without a line, filled from claims of a single line; the others as they are."""
     ids = ["claim_line_id", "member_id", "provider_id"]

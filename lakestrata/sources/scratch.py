@@ -21,8 +21,12 @@ def shared_folder(spark: SparkSession, what: str = "lakestrata") -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+# Files that are written once and read back soon: digests and texts take about half the space.
+COMPRESSED = {"compression": "zstd"}
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The rows of ``df`` as a written table: later passes see the same rows, whatever executors are lost."""
     path = shared_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.options(**COMPRESSED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

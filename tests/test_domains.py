@@ -336,3 +336,52 @@ def test_emergency_counts_only_when_carried(spark):
         assert marts.member_utilization(
             facts, core.payment_fact(refine_payments(rows(spark, PAYMENT, {})).valid, members, providers, facts),
             members).first().emergency_claims == expected
+
+
+def _exchanges(node) -> list[str]:
+    """The output columns of every shuffle below a physical plan's node, before execution."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return _exchanges(node.initialPlan())
+    below = node.children()
+    found = [text for i in range(below.size()) for text in _exchanges(below.apply(i))]
+    return [*found, node.output().toString()] if node.nodeName() == "Exchange" else found
+
+
+def test_a_fact_moves_its_wide_columns_once(spark, sf_dir):
+    """Ordering and lookups shuffle ids; the digest shuffles once, as bytes, whatever the size of the dimensions."""
+    from checks.registry import Lake
+
+    lake = Lake(spark, sf_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = _exchanges(lake.claims()._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(moved) >= 4
+    assert len([columns for columns in moved if "record_hash" in columns]) == 1
+
+
+def test_packed_digests_come_back_as_they_were(spark):
+    from lakestrata.operators.ranges import packed, unpacked
+
+    values = ["00ff", "ab" * 32, "AB", "abc", "", None, "00ff\n", "zz", "0"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, digest string")
+    small = packed(df, "digest")
+    assert unpacked(small, "digest").orderBy("i").collect() == df.orderBy("i").collect()
+    assert small.where("i = 1 and digest is null and length(_digest_bytes) = 32").count() == 1
+
+
+def test_facts_keep_repeated_and_null_keys(spark, sf_dir):
+    """Rows that agree on every id keep their own columns and get different keys."""
+    from lakestrata.plans import core
+    from checks.registry import Lake
+
+    lake = Lake(spark, sf_dir)
+    some = lake.checked("claims").valid.where("claim_id < 50")
+    claims = some.union(some).union(some.limit(1).withColumn("claim_id", F.lit(None).cast("bigint")))
+    fact = core.claim_fact(claims, lake.members(), lake.providers())
+    rows = claims.count()
+    assert sorted(r.claim_sk for r in fact.select("claim_sk").collect()) == list(range(1, rows + 1))
+    kept = ["claim_id", "claim_line_id", "member_id", "record_hash"]
+    assert fact.select(*kept).exceptAll(claims.select(*kept)).count() == 0
