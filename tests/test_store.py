@@ -176,3 +176,21 @@ def test_every_stored_table_is_reconciled(spark, store, landing):  # noqa: F811
 
 def test_readers_are_known():
     assert set(readers.READERS) == set(pipeline.LANDING_FORMATS.values())
+
+
+def test_compressed_landing_and_stored_tables(spark, tmp_path):
+    """CSV batches may come gzipped, beside plain ones; stored tables are zstd unless asked otherwise."""
+    rows = spark.createDataFrame([("1", "a"), ("2", None)], "id string, v string")
+    rows.coalesce(1).write.option("header", "true").option("compression", "gzip").csv(str(tmp_path / "in/batch_001"))
+    write_text(tmp_path / "in/batch_002/b.csv", "id,v\n3,c\n")
+    for batches in (None, ["batch_001", "batch_002"]):
+        found = read_csv_batches(spark, str(tmp_path / "in"), "claims", batches=batches)
+        assert {(r.id, r.v, r.bronze_batch_id) for r in found.collect()} == {
+            ("1", "a", "batch_001"), ("2", None, "batch_001"), ("3", "c", "batch_002"),
+        }
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    store.write(found, "bronze_claims")
+    assert list((tmp_path / "lake/bronze/claims").glob("*.zstd.parquet"))
+    plain = LayerStore(spark, str(tmp_path / "plain"), write_options={"compression": "snappy"})
+    plain.write(found, "bronze_claims")
+    assert list((tmp_path / "plain/bronze/claims").glob("*.snappy.parquet"))
