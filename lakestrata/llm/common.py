@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.encoding import Encoder, slices
+from lakestrata.llm.encoding import kept_encoder, slices
 
 # What separates words, and the capitals that are lower-cased.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -126,7 +126,7 @@ def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_i
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer_path)
+        encoder = kept_encoder(tokenizer_path)
         end = np.array([end_id], encoder.width)
         for batch in batches:
             texts = batch["text"].tolist()

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space as Unicode has it, which is what ends and starts pre-tokens.
 SPACE = "\t-\r \x85\xa0  -     　"
 SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-UNEVEN = re.compile(f"[{SPACE}](?:[ \n]|\\Z)")
+MARK = "\x02"  # stands before a stop or comma that is cut from its word
+UNEVEN = f"[{SPACE}](?:[ \n]|\\z)|{MARK}"  # read by Arrow
 KNOWN = 1 << 19  # segments that are remembered before all are forgotten
-SLICE = 1 << 20  # characters that are encoded together
+TOGETHER = 1 << 14  # new segments that go through the tokenizer together; bounds its memory
+SLICE = 1 << 22  # characters that are encoded together
 
 
 class Encoder:
@@ -30,6 +35,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.tokenizer.model._resize_cache(0)  # segments are remembered here; its own cache would only be missed
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.dtype("<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4")
         # A vocabulary entry has one character per byte of text.
@@ -46,7 +52,9 @@ class Encoder:
 
     def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words after a space, or that start with a line break, encoded as one text."""
-        segments = [w if w[0] == "\n" else " " + w for w in words]
+        segments = [w if w[0] == "\n" else w[1:] if w[0] == MARK else " " + w for w in words]
+        if any(w[0] == MARK for w in words):
+            return self.each(segments)  # a mark could join what is before it here
         ids = np.array(self.tokenizer.encode_batch_fast(["".join(segments)], add_special_tokens=False)[0].ids, self.width)
         ends = np.cumsum(np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments)))
         upto = np.cumsum(self.bytes[ids])
@@ -57,19 +65,29 @@ class Encoder:
 
     def segments(self, texts: list[str], measured: bool = False) -> tuple[np.ndarray, ...]:
         """Ids of all texts, ids of each segment, segments of each text, and where ``measured`` their lengths."""
-        spaced: list[str] = []
+        column = pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(column, UNEVEN)
+        even = pc.replace_substring(column.filter(pc.invert(uneven)), "\n", " \n")
+        if not measured:
+            # Letters or digits never join a mark that ends the word, so words with and without one share their ids.
+            even = pc.replace_substring_regex(even, r"([A-Za-z0-9])([.,]) ", rf"\1 {MARK}\2 ")
+        cut = pc.split_pattern(even, " ")
+        starts, words = cut.offsets.to_numpy(), cut.values
+        rest = np.ones(len(words), bool)
+        rest[starts[:-1]] = False
+        firsts = iter(zip(words.take(pa.array(starts[:-1])).to_pylist(), (np.diff(starts) - 1).tolist()))
         plain: list[str] = []
-        order, counts = [], []  # stretches of either list in turn, and the segments of each text
-        for text in texts:
-            if UNEVEN.search(text):
-                first, rest = SEGMENT.findall(text), []
+        order, counts = [], []  # stretches of plain and spaced segments in turn, and the segments of each text
+        for text, u in zip(texts, uneven.to_pylist()):
+            if u:
+                first, more = SEGMENT.findall(text), 0
             else:
-                first, *rest = text.replace("\n", " \n").split(" ")
-                first = [first] if first else []
-                spaced += rest
+                word, more = next(firsts)
+                first = [word] if word else []
             plain += first
-            order += (len(first), len(rest))
-            counts.append(len(first) + len(rest))
+            order += (len(first), more)
+            counts.append(len(first) + more)
+        plain, spaced = pa.array(plain, pa.large_string()), words.filter(pa.array(rest))
         found = self.plain.look(plain), self.spaced.look(spaced)
         kinds = np.repeat(np.arange(len(order)) % 2, order).astype(bool)
         sizes, starts = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
@@ -80,9 +98,10 @@ class Encoder:
         if not measured:
             return out
         lengths = np.zeros(len(kinds), np.int64)
-        lengths[~kinds] = np.fromiter(map(len, plain), np.int64, len(plain))
+        lengths[~kinds] = pc.utf8_length(plain).to_numpy()
         # A spaced segment is kept without its space, but for those that start with a line break.
-        lengths[kinds] = [len(s) + (s[0] != "\n") for s in spaced]
+        own = pc.starts_with(spaced, "\n").to_numpy(zero_copy_only=False)
+        lengths[kinds] = pc.utf8_length(spaced).to_numpy() + ~own
         return *out, lengths
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -92,8 +111,14 @@ class Encoder:
         return np.split(ids, ends[:-1]) if len(texts) else []
 
 
+@lru_cache(maxsize=2)
+def kept_encoder(path: str) -> Encoder:
+    """The encoder that a worker keeps from task to task, with what it remembers."""
+    return Encoder(path)
+
+
 class Segments:
-    """Ids of segments that were seen before."""
+    """Ids of segments that were seen before, by their place in order of coming."""
 
     def __init__(self, encode):
         self.encode = encode
@@ -102,22 +127,39 @@ class Segments:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.table = np.zeros(0, np.uint32)
-
-    def look(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.table, self.again = np.zeros(0, np.uint32), np.zeros(0, bool)
+
+    def shrink(self) -> None:
+        """Keep the segments that came again; all are forgotten if these are more than half."""
+        kept, known = np.flatnonzero(self.again), list(self.known)
+        if 2 * len(kept) > KNOWN:
+            return self.forget()
+        self.known = {known[i]: k for k, i in enumerate(kept.tolist())}
+        self.table = gather(self.table, self.starts[kept], self.sizes[kept])
+        self.sizes, self.again = self.sizes[kept], np.zeros(len(kept), bool)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def look(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids in a row, and ids per segment."""
-        if not segments:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.known) > KNOWN:
-            self.forget()
-        fresh = list(set(segments).difference(self.known))
-        if fresh:
+            self.shrink()
+        # Arrow finds the distinct ones, so only these become Python strings.
+        coded = segments.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [s for s in distinct if s not in self.known]
+        old = len(self.known)
+        for lo in range(0, len(new), TOGETHER):
+            fresh = new[lo : lo + TOGETHER]
             ids, sizes = self.encode(fresh)
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
             self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.table = np.concatenate([self.table, ids])
-        at = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        codes = coded.indices.to_numpy()
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.again[at[(at < old) | (np.bincount(codes, minlength=len(distinct)) > 1)]] = True
+        at = at[codes]
         return gather(self.table, self.starts[at], self.sizes[at]), self.sizes[at]
 
 

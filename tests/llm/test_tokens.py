@@ -146,3 +146,25 @@ def test_an_edit_encodes_only_leaves_around_it(spark):
     trees = token_counts.count_trees(docs, tokenizer_file())
     row = token_counts.recount(docs, edits, tokenizer_file(), trees=trees).first()
     assert 0 < row.n_encoded <= 2 * token_counts.LEAF + 1 and row.n_leaves >= 5000 // token_counts.LEAF
+
+
+def test_a_word_before_a_stop_is_encoded_once(tokenizer):
+    coder = encoding.Encoder(tokenizer_file())
+    text = "a foo foo, foo. bar\nfoo, 12, \x1b. end"
+    assert coder.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert "foo" in coder.spaced.known and not {"foo,", "foo."} & set(coder.spaced.known)
+    rng = random.Random(5)
+    parts = ["a", "Z9", ",", ".", ", ", ". ", "\x02", "\x02, ", "%, ", "é, ", "'s, ", "s.\n", " ", "\n", "<|endoftext|>. "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    for text, ids in zip(texts, coder.ids(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_repeated_segments_outlive_the_others(tokenizer, monkeypatch):
+    monkeypatch.setattr(encoding, "KNOWN", 7)
+    coder = encoding.Encoder(tokenizer_file())
+    coder.ids(["x both both one two three four five six seven"])
+    text = "y seven both eight"
+    assert coder.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(coder.spaced.known)[0] == "both" and "one" not in coder.spaced.known
+    assert coder.ids([]) == []
