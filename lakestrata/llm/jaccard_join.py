@@ -10,12 +10,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from lakestrata.llm.common import chunks, longs, lower_ascii, released, stored, text_or_empty, window_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
 LANES = 16  # signature: LANES words of 64 bits
+SPREAD = 4  # bits of a wide signature per element, at least
 CHUNK = 1 << 19  # words that a worker handles at once; bounds its memory
 WIDTH = 3  # steps of a factor 1 / 0.8 in size that a band spans
 COMMON = 1 << 16  # common shingles whose order is known; any order gives the same result
@@ -103,24 +105,51 @@ def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> Dat
     return filled.mapInPandas(cut, "row long, p array<long>, bands array<int>")
 
 
-def verified(pairs: DataFrame, small: DataFrame, fetch: Callable, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that are links: bounded from above by their bitmaps, then intersected.
+@F.pandas_udf(ArrayType(LongType()))
+def wide_bitmaps(sets: pd.Series) -> pd.Series:
+    """A bitmap of each set, of the power of two from ``SPREAD`` bits an element on, ``LANES`` words at least."""
 
-    ``small`` has id, n and g; ``fetch`` makes the sets (row, s) of the rows that are in a pair that the bound leaves.
-    These are written first, so Spark knows their size before it chooses how to join.
-    """
-    left = small.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
-    right = small.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    def one(s: np.ndarray) -> np.ndarray:
+        bits = np.zeros(max(LANES * 64, 1 << (SPREAD * len(s) - 1).bit_length()), np.uint8)
+        bits[s.view(np.uint64) % np.uint64(len(bits))] = 1
+        return np.packbits(bits).view(np.int64)
+
+    return sets.map(lambda s: one(np.array(s, np.int64)))
+
+
+def bounded(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can be links by the bitmaps ``g`` of their sets and their sizes ``n``."""
+    left = signatures.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
+    right = signatures.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    both = pairs.join(left, "a").join(right, "b")
+    # Sizes of links differ by a factor of 1 / 0.8 at most, so the widths are the same or one is twice the other.
+    alike = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    width = F.least(F.size("ga"), F.size("gb"))
+    fold = lambda g: F.when(F.size(g) == width, F.col(g)).otherwise(
+        F.zip_with(F.slice(g, 1, width), F.slice(g, width + 1, width), lambda p, q: p.bitwiseOR(q))
+    )
+    alike = alike.withColumns({"ga": fold("ga"), "gb": fold("gb")})
     # Each bit of one signature that the other lacks stands for an element that the other lacks.
     only = lambda x, y: F.aggregate(
         F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda c, v: c + v
     )
     bound = F.least(F.col("na") - only(F.col("ga"), F.col("gb")), F.col("nb") - only(F.col("gb"), F.col("ga")))
-    near = pairs.join(left, "a").join(right, "b")
-    near = near.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
-    near = stored(near, "near")
-    asked = stored(near.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
+    return alike.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def verified(pairs: DataFrame, small: DataFrame, fetch: Callable, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that are links: bounded from above by their bitmaps, short ones and then wide, then intersected.
+
+    ``small`` has id, n and g; ``fetch`` makes the sets (row, s) of the rows that are in a pair that the bound leaves.
+    These are written first, so Spark knows their size before it chooses how to join.  Whole sets are moved only for
+    the pairs that the wide bitmaps leave.
+    """
+    rough = stored(bounded(pairs, small, percent), "rough")
+    asked = stored(rough.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
     asked_sets = stored(fetch(asked), "asked-sets")
+    wide = asked_sets.select(F.col("row").alias("id"), F.size("s").alias("n"), wide_bitmaps("s").alias("g"))
+    wide = stored(wide, "wide")
+    near = stored(bounded(rough, wide, percent), "near")
     one = asked_sets.select(F.col("row").alias("a"), F.col("s").alias("sa"))
     two = asked_sets.select(F.col("row").alias("b"), F.col("s").alias("sb"))
 
@@ -131,7 +160,7 @@ def verified(pairs: DataFrame, small: DataFrame, fetch: Callable, percent: int =
     exact = near.join(one, "a").join(two, "b").withColumn("common", overlap("sa", "sb"))
     linked = (100 + percent) * F.col("common") >= percent * (F.size("sa") + F.size("sb"))
     found = stored(exact.where(linked).select("a", "b"), "links")
-    released(near, asked, asked_sets)
+    released(rough, near, asked, asked_sets, wide)
     return found
 
 

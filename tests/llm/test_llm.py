@@ -251,3 +251,22 @@ def test_jaccard_keeps_long_ids_beside_null(spark):
     docs = spark.createDataFrame([(big, run_of(900, 30)), (None, run_of(901, 30)), (big + 2, run_of(900, 30))], "doc_id long, text string")
     got = {(r.id, r.component_id) for r in jaccard_join.linked_components(docs.coalesce(1)).collect()}
     assert got == {(big, big), (None, None), (big + 2, big)}
+
+
+def test_wide_bitmaps_drop_large_sets_and_keep_all_links(spark):
+    import random
+
+    rng = random.Random(8)
+    draw = lambda n: [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+    rows, shared = [], {}
+    # Sizes around a power of two; 890 of 1000 each are links at 80 %, a half is not.
+    for i, (size, other, common) in enumerate([(3000, 3000, 1500), (2000, 2100, 1000), (2000, 2100, 1850), (500, 520, 460), (4, 5, 4)]):
+        both = draw(common)
+        x, y = both + draw(size - common), both + draw(other - common)
+        rows += [(2 * i, sorted(x)), (2 * i + 1, sorted(y))]
+        shared[2 * i] = 180 * common >= 80 * (size + other)
+    sets = spark.createDataFrame(rows, "row long, s array<long>")
+    pairs = spark.createDataFrame([(a, a + 1) for a in shared], "a long, b long")
+    wide = sets.select(F.col("row").alias("id"), F.size("s").alias("n"), jaccard_join.wide_bitmaps("s").alias("g"))
+    left = {r["a"] for r in jaccard_join.bounded(pairs, wide, 80).collect()}
+    assert left == {a for a, linked in shared.items() if linked}
