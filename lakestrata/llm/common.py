@@ -125,27 +125,30 @@ def tokenized(df: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_i
     rows = df.select(F.col(key).alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_encoder(tokenizer_path)
         end = np.array([end_id], encoder.width)
         for batch in batches:
-            texts = batch["text"].tolist()
+            texts = batch.column("text")
             for lo, hi in slices(texts):
-                arrays = [np.concatenate([ids.astype(encoder.width), end]) for ids in encoder.ids(texts[lo:hi])]
-                part = batch.iloc[lo:hi]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"],
-                        "text_hash": part["text_hash"],
-                        "n_tokens": [len(a) for a in arrays],
-                        "width": encoder.width.itemsize,
-                        "ids": [a.tobytes() for a in arrays],
-                        "curve": curve(arrays) if curve else 0,
-                    }
+                arrays = [np.concatenate([ids.astype(encoder.width), end]) for ids in encoder.ids(texts.slice(lo, hi - lo))]
+                numbers = curve(arrays) if curve else np.zeros(hi - lo, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(lo, hi - lo),
+                        batch.column("text_hash").slice(lo, hi - lo),
+                        pa.array([len(a) for a in arrays], pa.int64()),
+                        pa.array(np.full(hi - lo, encoder.width.itemsize, np.int32)),
+                        pa.array([a.tobytes() for a in arrays], pa.binary()),
+                        pa.array(numbers, pa.int64()),
+                    ],
+                    ["doc_id", "text_hash", "n_tokens", "width", "ids", "curve"],
                 )
+                del arrays
+                pa.default_memory_pool().release_unused()  # else freed memory stays with the worker
 
     schema = f"doc_id {kind}, text_hash long, n_tokens long, width int, ids binary, curve long"
-    return stored(rows.mapInPandas(encode, schema).withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    return stored(rows.mapInArrow(encode, schema).withColumn("row", F.monotonically_increasing_id()), "token-ids")
 
 
 def read_ids(data: bytes, width: int) -> np.ndarray:
@@ -176,16 +179,19 @@ def ordered_stream(tokens: DataFrame, order: list[str], what: str) -> DataFrame:
     """
     schema = tokens.schema.simpleString()[len("struct<") : -1]
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ends = batch["n_tokens"].cumsum() + before
-            yield batch.assign(part=part, within=ends - batch["n_tokens"])
-            before = int(ends.iloc[-1]) if len(ends) else before
-
-    numbered = stored(in_order(tokens, order).mapInPandas(number, f"{schema}, part int, within long"), what)
+            sizes = batch.column("n_tokens").to_numpy()
+            ends = np.cumsum(sizes) + before
+            more = [pa.array(np.full(len(sizes), part, np.int32)), pa.array(ends - sizes)]
+            names = [*batch.schema.names, "part", "within"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names)
+            before = int(ends[-1]) if len(ends) else before
+
+    numbered = stored(in_order(tokens, order).mapInArrow(number, f"{schema}, part int, within long"), what)
     offsets = range_starts(numbered.select("part", F.col("n_tokens").alias("n")))  # one row per range
     return numbered.join(F.broadcast(offsets), "part").select(
         "*", (F.col("part_start") + F.col("within")).alias("stream_start")

@@ -16,7 +16,7 @@ MARK = "\x02"  # stands before a stop or comma that is cut from its word
 UNEVEN = f"[{SPACE}](?:[ \n]|\\z)|{MARK}"  # read by Arrow
 KNOWN = 1 << 19  # segments that are remembered before all are forgotten
 TOGETHER = 1 << 14  # new segments that go through the tokenizer together; bounds its memory
-SLICE = 1 << 22  # characters that are encoded together
+SLICE = 1 << 21  # bytes of text that are encoded together; bounds a worker's memory
 
 
 class Encoder:
@@ -52,20 +52,23 @@ class Encoder:
 
     def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words after a space, or that start with a line break, encoded as one text."""
-        segments = [w if w[0] == "\n" else w[1:] if w[0] == MARK else " " + w for w in words]
-        if any(w[0] == MARK for w in words):
-            return self.each(segments)  # a mark could join what is before it here
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(segments)], add_special_tokens=False)[0].ids, self.width)
-        ends = np.cumsum(np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments)))
+        text = (" " + " ".join(words)).replace(" \n", "\n")
+        if MARK in text:
+            # A mark could join what is before it here.
+            return self.each([w if w[0] == "\n" else w[1:] if w[0] == MARK else " " + w for w in words])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+        column = pa.array(words, pa.large_string())
+        own = pc.starts_with(column, "\n").to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.binary_length(column).to_numpy() + ~own)
         upto = np.cumsum(self.bytes[ids])
         last = np.searchsorted(upto, ends)
         if len(upto) and upto[-1] == ends[-1] and (upto[last] == ends).all():
             return ids, np.diff(last + 1, prepend=0)
-        return self.each(segments)
+        return self.each([w if w[0] == "\n" else " " + w for w in words])
 
-    def segments(self, texts: list[str], measured: bool = False) -> tuple[np.ndarray, ...]:
+    def segments(self, texts: list[str] | pa.Array, measured: bool = False) -> tuple[np.ndarray, ...]:
         """Ids of all texts, ids of each segment, segments of each text, and where ``measured`` their lengths."""
-        column = pa.array(texts, pa.large_string())
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         uneven = pc.match_substring_regex(column, UNEVEN)
         even = pc.replace_substring(column.filter(pc.invert(uneven)), "\n", " \n")
         if not measured:
@@ -76,11 +79,12 @@ class Encoder:
         rest = np.ones(len(words), bool)
         rest[starts[:-1]] = False
         firsts = iter(zip(words.take(pa.array(starts[:-1])).to_pylist(), (np.diff(starts) - 1).tolist()))
+        odd = iter(column.filter(uneven).to_pylist())
         plain: list[str] = []
         order, counts = [], []  # stretches of plain and spaced segments in turn, and the segments of each text
-        for text, u in zip(texts, uneven.to_pylist()):
+        for u in uneven.to_pylist():
             if u:
-                first, more = SEGMENT.findall(text), 0
+                first, more = SEGMENT.findall(next(odd)), 0
             else:
                 word, more = next(firsts)
                 first = [word] if word else []
@@ -88,12 +92,13 @@ class Encoder:
             order += (len(first), more)
             counts.append(len(first) + more)
         plain, spaced = pa.array(plain, pa.large_string()), words.filter(pa.array(rest))
+        del column, even, cut, words, rest  # large, and not needed while ids are looked up
         found = self.plain.look(plain), self.spaced.look(spaced)
         kinds = np.repeat(np.arange(len(order)) % 2, order).astype(bool)
         sizes, starts = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
-        for kind, (ids, size), before in ((~kinds, found[0], 0), (kinds, found[1], len(found[0][0]))):
-            sizes[kind], starts[kind] = size, before + np.cumsum(size) - size
-        flat = np.concatenate([found[0][0], found[1][0]])
+        for kind, (start, size), before in ((~kinds, found[0], 0), (kinds, found[1], len(self.plain.table))):
+            sizes[kind], starts[kind] = size, before + start
+        flat = np.concatenate([self.plain.table, self.spaced.table])
         out = gather(flat, starts, sizes), sizes, np.array(counts, np.int64)
         if not measured:
             return out
@@ -104,17 +109,17 @@ class Encoder:
         lengths[kinds] = pc.utf8_length(spaced).to_numpy() + ~own
         return *out, lengths
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def ids(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         ids, sizes, counts = self.segments(texts)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
         return np.split(ids, ends[:-1]) if len(texts) else []
 
 
-@lru_cache(maxsize=2)
-def kept_encoder(path: str) -> Encoder:
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The encoder that a worker keeps from task to task, with what it remembers."""
-    return Encoder(path)
+    return Encoder(path, special_as_text)
 
 
 class Segments:
@@ -124,43 +129,51 @@ class Segments:
         self.encode = encode
         self.forget()
 
+    @property
+    def known(self) -> list[str]:
+        return self.seen.to_pylist()
+
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.seen = pa.array([], pa.large_string())
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.table, self.again = np.zeros(0, np.uint32), np.zeros(0, bool)
 
     def shrink(self) -> None:
         """Keep the segments that came again; all are forgotten if these are more than half."""
-        kept, known = np.flatnonzero(self.again), list(self.known)
+        kept = np.flatnonzero(self.again)
         if 2 * len(kept) > KNOWN:
             return self.forget()
-        self.known = {known[i]: k for k, i in enumerate(kept.tolist())}
+        self.seen = self.seen.take(pa.array(kept))
         self.table = gather(self.table, self.starts[kept], self.sizes[kept])
         self.sizes, self.again = self.sizes[kept], np.zeros(len(kept), bool)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def look(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids in a row, and ids per segment."""
-        if len(self.known) > KNOWN:
+        """Where each segment's ids start in ``table``, and how many it has."""
+        if len(self.seen) > KNOWN:
             self.shrink()
-        # Arrow finds the distinct ones, so only these become Python strings.
+        # Arrow finds the distinct ones and those that are known, so only new ones become Python strings.
         coded = segments.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [s for s in distinct if s not in self.known]
-        old = len(self.known)
-        for lo in range(0, len(new), TOGETHER):
-            fresh = new[lo : lo + TOGETHER]
-            ids, sizes = self.encode(fresh)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+        distinct = coded.dictionary
+        old, at = len(self.seen), np.full(len(distinct), -1)
+        spot = pc.fill_null(pc.index_in(self.seen, distinct), -1).to_numpy()  # the smaller side is hashed
+        here = np.flatnonzero(spot >= 0)
+        at[spot[here]] = here
+        missing = np.flatnonzero(at < 0)
+        at[missing] = np.arange(old, old + len(missing))
+        if len(missing):
+            new = distinct.take(pa.array(missing))
+            self.seen = pa.concat_arrays([self.seen, new])
+            found = [self.encode(new.slice(lo, TOGETHER).to_pylist()) for lo in range(0, len(new), TOGETHER)]
+            sizes = np.concatenate([n for _, n in found])
             self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.table = np.concatenate([self.table, ids])
-        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            self.table = np.concatenate([self.table, *(ids for ids, _ in found)])
         codes = coded.indices.to_numpy()
-        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.again = np.concatenate([self.again, np.zeros(len(missing), bool)])
         self.again[at[(at < old) | (np.bincount(codes, minlength=len(distinct)) > 1)]] = True
         at = at[codes]
-        return gather(self.table, self.starts[at], self.sizes[at]), self.sizes[at]
+        return self.starts[at], self.sizes[at]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -169,13 +182,11 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def slices(texts: list[str], characters: int = SLICE):
-    """Ranges of rows whose texts hold about ``characters`` together; a longer text is alone."""
-    size, start = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > characters:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def slices(texts: pa.Array, limit: int = SLICE):
+    """Ranges of rows whose texts hold at most ``limit`` bytes together; a longer text is alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo, before = 0, 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield lo, hi
+        lo, before = hi, int(ends[hi - 1])

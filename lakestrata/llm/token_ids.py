@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +56,14 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Id and code length for each value of the next ``limit`` bits."""
+def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
+    """Id, times 32, and code length for each value of the next ``limit`` bits."""
     used = np.flatnonzero(lengths)
     order = used[np.argsort(lengths[used], kind="stable")]
     fill = 1 << (limit - lengths[order])
-    ids, bits = np.zeros(1 << limit, np.int32), np.ones(1 << limit, np.int32)
-    n = int(fill.sum())
-    ids[:n], bits[:n] = np.repeat(order, fill), np.repeat(lengths[order], fill)
-    return ids, bits
+    table = np.ones(1 << limit, np.int64)
+    table[: int(fill.sum())] = np.repeat(order << 5 | lengths[order], fill)
+    return table
 
 
 def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, list[int]]:
@@ -80,19 +80,18 @@ def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[byt
     return payload[: (int(ends[-1]) + 7) // 8 if len(ids) else 0], starts[::STEP].tolist()
 
 
-def decode(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def decode(payload: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
     """All ids of a block: the lanes between checkpoints advance together."""
-    raw = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
+    # Padded, as the last lane may go on to its full length.
+    raw = np.frombuffer(payload + b"\0" * (STEP * MAX_BITS // 8 + 8), np.uint8).astype(np.int64)
     # The 32 bits that start at each byte.
     data = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    ids, bits = table
-    at, out = np.array(checkpoints, np.int64), np.zeros((STEP, len(checkpoints)), np.int32)
-    last, mask = len(payload), (1 << MAX_BITS) - 1
+    at, out = np.array(checkpoints, np.int64), np.zeros((STEP, len(checkpoints)), np.uint32)
+    mask = (1 << MAX_BITS) - 1
     for k in range(STEP):
-        window = data[np.minimum(at >> 3, last)]
-        value = window >> (32 - MAX_BITS - (at & 7)) & mask
-        out[k] = ids[value]
-        at += bits[value]
+        found = table[data[at >> 3] >> (32 - MAX_BITS - (at & 7)) & mask]
+        out[k] = found >> 5
+        at += found & 31
     return out.T.reshape(-1)[:n].astype("<u4")
 
 
@@ -116,19 +115,19 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2,
     spark = docs.sparkSession
     tokens = tokenized(docs, tokenizer_path, end_id, doc_id, text)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, size = np.zeros(0, np.int64), [], 0
         for batch in batches:
-            for data, width in zip(batch["ids"], batch["width"]):
-                held.append(read_ids(data, width))
+            for data, width in zip(batch.column("ids"), batch.column("width").to_pylist()):
+                held.append(np.frombuffer(data.as_buffer(), f"<u{width}"))
                 size += len(held[-1])
                 if size >= COUNTED:
                     total, held, size = added(total, held), [], 0
         total = added(total, held)
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    partial = tokens.select("ids", "width").mapInPandas(count, "id long, n long")
+    partial = tokens.select("ids", "width").mapInArrow(count, "id long, n long")
     rows = partial.groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most one per vocabulary entry
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:

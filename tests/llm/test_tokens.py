@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
@@ -168,3 +169,19 @@ def test_repeated_segments_outlive_the_others(tokenizer, monkeypatch):
     assert coder.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     assert list(coder.spaced.known)[0] == "both" and "one" not in coder.spaced.known
     assert coder.ids([]) == []
+
+
+def test_slices_are_bounded_in_bytes():
+    """Texts are read in place, and wide characters count by their bytes; a longer text is alone."""
+    texts = pa.array(["é" * 40, "a" * 30, "", "a" * 300, "b"])
+    assert list(encoding.slices(texts, 100)) == [(0, 1), (1, 3), (3, 4), (4, 5)]
+    assert list(encoding.slices(texts.slice(1, 2), 100)) == [(0, 2)] and not list(encoding.slices(texts.slice(5), 100))
+    coder = encoding.Encoder(tokenizer_file())
+    assert [x.tolist() for x in coder.ids(texts.slice(1, 3))] == [x.tolist() for x in coder.ids(["a" * 30, "", "a" * 300])]
+
+
+def test_workers_keep_the_encoder_that_reads_special_strings_as_text():
+    coder = encoding.kept_encoder(tokenizer_file(), special_as_text=True)
+    assert coder is encoding.kept_encoder(tokenizer_file(), special_as_text=True)
+    assert coder.tokenizer.encode_special_tokens
+    assert not encoding.kept_encoder(tokenizer_file()).tokenizer.encode_special_tokens
