@@ -15,6 +15,7 @@ SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 MARK = "\x02"  # stands before a stop or comma that is cut from its word
 UNEVEN = f"[{SPACE}](?:[ \n]|\\z)|{MARK}"  # read by Arrow
 KNOWN = 1 << 19  # segments that are remembered before all are forgotten
+FEW = 64  # segments this many times fewer than the known ones are encoded without a search
 TOGETHER = 1 << 14  # new segments that go through the tokenizer together; bounds its memory
 SLICE = 1 << 21  # bytes of text that are encoded together; bounds a worker's memory
 
@@ -96,9 +97,9 @@ class Encoder:
         found = self.plain.look(plain), self.spaced.look(spaced)
         kinds = np.repeat(np.arange(len(order)) % 2, order).astype(bool)
         sizes, starts = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
-        for kind, (start, size), before in ((~kinds, found[0], 0), (kinds, found[1], len(self.plain.table))):
+        for kind, (_, start, size), before in ((~kinds, found[0], 0), (kinds, found[1], len(found[0][0]))):
             sizes[kind], starts[kind] = size, before + start
-        flat = np.concatenate([self.plain.table, self.spaced.table])
+        flat = np.concatenate([found[0][0], found[1][0]])
         out = gather(flat, starts, sizes), sizes, np.array(counts, np.int64)
         if not measured:
             return out
@@ -148,8 +149,11 @@ class Segments:
         self.sizes, self.again = self.sizes[kept], np.zeros(len(kept), bool)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def look(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Where each segment's ids start in ``table``, and how many it has."""
+    def look(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A table of ids, where each segment's ids start in it, and how many it has."""
+        if len(segments) * FEW < len(self.seen):
+            ids, sizes = self.encode(segments.to_pylist()) if len(segments) else (self.table[:0], self.sizes[:0])
+            return ids, np.cumsum(sizes) - sizes, sizes
         if len(self.seen) > KNOWN:
             self.shrink()
         # Arrow finds the distinct ones and those that are known, so only new ones become Python strings.
@@ -173,7 +177,7 @@ class Segments:
         self.again = np.concatenate([self.again, np.zeros(len(missing), bool)])
         self.again[at[(at < old) | (np.bincount(codes, minlength=len(distinct)) > 1)]] = True
         at = at[codes]
-        return self.starts[at], self.sizes[at]
+        return self.table, self.starts[at], self.sizes[at]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import stored, text_or_empty
-from lakestrata.llm.encoding import Encoder, slices
+from lakestrata.llm.encoding import Encoder, kept_encoder, slices
 
 LEAF = 32  # segments (words with the space before them) of a leaf
 
@@ -61,26 +62,30 @@ def count_trees(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id
     """
     kind = docs.schema[doc_id].dataType.simpleString()
 
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer_path, special_as_text=True)
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = kept_encoder(tokenizer_path, special_as_text=True)
         for batch in batches:
-            texts = batch["body"].tolist()
+            texts = batch.column("body")
             for lo, hi in slices(texts):
-                _, sizes, counts, lengths = encoder.segments(texts[lo:hi], measured=True)
-                ends = np.cumsum(counts)
-                found = [leaves_of(sizes[a:b], lengths[a:b]) for a, b in zip(ends - counts, ends)]
-                part = batch.iloc[lo:hi]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"],
-                        "text_hash": part["text_hash"],
-                        "chars": [c for c, _ in found],
-                        "counts": [n for _, n in found],
-                    }
+                _, sizes, counts, lengths = encoder.segments(texts.slice(lo, hi - lo), measured=True)
+                starts = np.cumsum(counts) - counts
+                # Where each leaf of each text starts; a text without segments has none.
+                n_leaves = -(-counts // LEAF)
+                edges = np.concatenate([[0], np.cumsum(n_leaves)])
+                first = np.repeat(starts - edges[:-1] * LEAF, n_leaves) + np.arange(edges[-1]) * LEAF
+                sums = [np.add.reduceat(x, first) if len(first) else x for x in (lengths, sizes)]
+                offsets = pa.array(edges, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(lo, hi - lo),
+                        batch.column("text_hash").slice(lo, hi - lo),
+                        *(pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in sums),
+                    ],
+                    ["doc_id", "text_hash", "chars", "counts"],
                 )
 
     schema = f"doc_id {kind}, text_hash long, chars array<int>, counts array<int>"
-    return stored(keyed(docs, text, doc_id).mapInPandas(grow, schema), "count-trees")
+    return stored(keyed(docs, text, doc_id).mapInArrow(grow, schema), "count-trees")
 
 
 def edited(encoder: Encoder, body: str, chars: np.ndarray, counts: np.ndarray, edits) -> tuple[int, int, int]:
@@ -138,7 +143,7 @@ def recount(docs: DataFrame, edits: DataFrame, tokenizer_path: str, text: str =
     joined = rows.join(known, (rows["__key"] == known["__key"]) & (rows["text_hash"].bitwiseXOR(known["__hash"]) == 0))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer_path, special_as_text=True)
+        encoder = kept_encoder(tokenizer_path, special_as_text=True)
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):

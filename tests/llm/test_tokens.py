@@ -185,3 +185,13 @@ def test_workers_keep_the_encoder_that_reads_special_strings_as_text():
     assert coder is encoding.kept_encoder(tokenizer_file(), special_as_text=True)
     assert coder.tokenizer.encode_special_tokens
     assert not encoding.kept_encoder(tokenizer_file()).tokenizer.encode_special_tokens
+
+
+def test_a_short_text_does_not_search_all_known_segments(tokenizer):
+    coder = encoding.Encoder(tokenizer_file())
+    coder.ids([" ".join(f"w{k}" for k in range(1000))])
+    before = len(coder.spaced.known)
+    text = "w0 new w1\nw2, end."
+    assert coder.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(coder.spaced.known) == before
+    assert coder.ids([""])[0].tolist() == [] and coder.ids([" "])[0].tolist() == tokenizer.encode(" ").ids
