@@ -270,3 +270,112 @@ def test_wide_bitmaps_drop_large_sets_and_keep_all_links(spark):
     wide = sets.select(F.col("row").alias("id"), F.size("s").alias("n"), jaccard_join.wide_bitmaps("s").alias("g"))
     left = {r["a"] for r in jaccard_join.bounded(pairs, wide, 80).collect()}
     assert left == {a for a, linked in shared.items() if linked}
+
+
+def plain_scores(texts, train, order):
+    """Scores, known words and tokens of an interpolated modified Kneser-Ney model, gram by gram."""
+    from collections import Counter
+
+    marked = [["<s>"] * (order - 1) + re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</s>"] for t in texts]
+    held = [t for t, known in zip(marked, train) if known]
+    counts = {order: Counter(tuple(t[i : i + order]) for t in held for i in range(len(t) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut = {}
+    for k, c in counts.items():
+        n1, n2, n3, n4 = (sum(v == x for v in c.values()) for x in (1, 2, 3, 4))
+        d = [0.5] * 3
+        if n1 and n2:
+            y = n1 / (n1 + 2 * n2)
+            raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+            d = [min(max(v, 0.05), x - 0.05) for v, x in zip(raw, (1, 2, 3))]
+        cut[k] = {g: d[min(v, 3) - 1] for g, v in c.items()}
+    known = Counter(w for t in held for w in t[order - 1 :])
+    total, left = {}, {}
+    for k in counts:
+        for g, v in counts[k].items():
+            total[g[:-1]] = total.get(g[:-1], 0) + v
+            left[g[:-1]] = left.get(g[:-1], 0) + cut[k][g]
+
+    def rate(gram):
+        lower = rate(gram[1:]) if len(gram) > 1 else 1 / (len(known) + 1)
+        if gram[:-1] not in total:
+            return lower
+        return (counts[len(gram)].get(gram, 0) - cut[len(gram)].get(gram, 0) + left[gram[:-1]] * lower) / total[gram[:-1]]
+
+    out = []
+    for t in marked:
+        own = t[order - 1 :]
+        base = sum(np.log10((known[w] + 0.1) / (known.total() + 0.1 * (len(known) + 1))) for w in own)
+        score = sum(np.log10(rate(tuple(t[i - order + 1 : i + 1]))) for i in range(order - 1, len(t)))
+        out.append((len(own), sum(w in known for w in own), known.total(), base, score))
+    return out
+
+
+@pytest.mark.parametrize("order, part", [(1, 10**9), (2, 40), (3, 10**9), (3, 40), (4, 40)])
+def test_language_model_in_parts_and_orders(spark, monkeypatch, order, part):
+    """Tables in one part and in many, odd white space, capitals, null and empty texts, unknown words, repeated rows."""
+    from lakestrata.llm import lm_scoring
+
+    monkeypatch.setattr(lm_scoring, "PART", part)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, 25) % 40) for _ in range(40)]
+    texts += [None, "", " \t ", "W1 w2\x0bw3\x0c\x1cw4\x85w5 w6\r\nÄ ä", "new words W1 w2 only", texts[0], texts[0], " w1  w2 "]
+    train = [k % 4 != 0 for k in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_scoring.score(docs, F.when(F.col("doc_id") != 4, F.col("doc_id") % 4 != 0), order=order).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for k, (n, known, total, base, score) in enumerate(plain_scores(texts, train, order)):
+        r = got[k]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (not train[k], n, known, total)
+        assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) < 1e-6
+
+
+def test_language_model_without_training_rows(spark):
+    from lakestrata.llm import lm_scoring
+
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    got = sorted(map(tuple, lm_scoring.score(docs, F.lit(None).cast("boolean")).collect()))
+    assert got == [(1, True, 3, 0, 0, 0.0, 0.0), (2, True, 1, 0, 0, 0.0, 0.0)]
+
+
+def test_gram_keys_beyond_64_bits():
+    """Where 64 bits don't hold the words, keys are hashes and the words go along in the blocks."""
+    from lakestrata.llm.lm_scoring import Grams
+    from lakestrata.llm.mapped import unpacked
+
+    words = [np.arange(50, dtype=np.uint64) * np.uint64(k + 3) + np.uint64(1 << 29) for k in range(3)]
+    for bits in (30, 16):
+        grams = Grams(3, bits, 2)
+        use = [w & np.uint64((1 << bits) - 1) for w in words]
+        key = grams.key(use, 50)
+        order = np.argsort(key)
+        sent = grams.blocks(key[order], [w[order] for w in use], np.arange(50, dtype=np.uint64))
+        back = []
+        for part, data in sent:
+            *columns, numbers = unpacked(data, grams.columns + 1)
+            own = grams.regained(part, columns)
+            assert (grams.part(own) == part).all()
+            back += zip(own.tolist(), *(w.tolist() for w in grams.words(own, columns)), numbers.tolist())
+        assert grams.exact == (bits == 16)
+        assert back == [(k, *w, n) for n, (k, *w) in enumerate(zip(key[order].tolist(), *(w[order].tolist() for w in use)))]
+
+
+def test_mapped_tables_find_each_key(tmp_path):
+    from lakestrata.llm.mapped import INDEX, coded, decoded, find, indexed, mixed, opened, saved, unmixed
+
+    rng = np.random.default_rng(3)
+    for bits, n in ((0, 1), (5, 20), (17, 1000), (42, 5000), (64, 300), (9, 0)):
+        plain = np.unique(rng.integers(0, 1 << bits, n, dtype=np.uint64, endpoint=False) if bits < 64 else rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        keys = np.sort(mixed(plain, bits))
+        assert len(np.unique(keys)) == len(plain) and (np.sort(unmixed(keys, bits)) == plain).all()
+        counts, more = rng.integers(1, 9, len(keys)), rng.integers(0, 70000, len(keys))
+        saved(f"{tmp_path}/t{bits}", [*indexed(keys, bits), *coded(counts, more)])
+        table = opened(f"{tmp_path}/t{bits}")
+        others = mixed(rng.integers(0, 1 << min(bits, 63), 500, dtype=np.uint64) & np.uint64((1 << bits) - 1), bits)
+        asked = np.concatenate([keys, others])
+        rows = find(table, asked)
+        assert (rows == np.where(np.isin(asked, keys), np.searchsorted(keys, asked), -1)).all()
+        got = decoded(table[INDEX:], rows)
+        for values, want in zip(got, (counts, more)):
+            assert (values == np.where(rows >= 0, np.append(want, 0)[rows], 0)).all()
