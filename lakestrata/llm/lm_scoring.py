@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 from urllib.parse import urlparse
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -20,6 +20,7 @@ from lakestrata.llm.mapped import INDEX, coded, decoded, find, indexed, mask, mi
 
 ORDER = 3
 END = np.uint64(1)  # hash of the end mark; a word has it with a chance of 2**-64
+LONG = 512  # bytes of a word that are hashed eight at a time
 SLICE = 1 << 21  # bytes of text that are split at once
 BUFFER = 2_000_000  # grams that a task sorts at once
 PART = 1_500_000  # training tokens for each part of the tables
@@ -31,13 +32,40 @@ STATS = 4  # of a context: sum of its counts, and how many of them are 1, 2 and
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words of some texts, the place there of each word, and the words of each text."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    values = lists.values
-    filled = pc.greater(pc.binary_length(values), 0)
-    held = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
-    found = values.filter(filled).dictionary_encode()
-    distinct = np.array(found.dictionary.cast(pa.binary()).to_pylist(), object)
-    hashes = pd.util.hash_array(distinct, categorize=False).astype(np.uint64)
-    return hashes, found.indices.to_numpy(zero_copy_only=False), np.diff(held[lists.offsets.to_numpy()])
+    found = lists.values.dictionary_encode()
+    distinct, places = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
+    empty = pc.index(distinct, "").as_py()  # comes before a leading white space and after a trailing one
+    filled = places != empty
+    held = np.concatenate([[0], np.cumsum(filled)])
+    places = places[filled]
+    if empty >= 0:
+        distinct = pa.concat_arrays([distinct[:empty], distinct[empty + 1 :]])
+        places = places - (places > empty)
+    return word_hashes(distinct), places, np.diff(held[lists.offsets.to_numpy()])
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, from eight bytes at a time; those of equal length up to eight bytes all differ."""
+    words = words.cast(pa.binary())
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    starts, sizes = ends[:-1], np.diff(ends)
+    hashes = mixed(sizes.astype(np.uint64) + np.uint64(END), 64)
+    rows, at = np.flatnonzero((sizes > 0) & (sizes <= LONG)), 0
+    while len(rows):
+        eight = data[(starts[rows] + at)[:, None] + np.arange(8)].view("<u8")[:, 0]
+        rest = sizes[rows] - at
+        eight &= (np.uint64(1) << (8 * np.minimum(rest, 8)).astype(np.uint64)) - np.uint64(1)
+        hashes[rows] = mixed(hashes[rows] ^ eight, 64)
+        at += 8
+        rows = rows[rest > 8]
+    for row in np.flatnonzero(sizes > LONG):
+        digest = hashlib.blake2b(data[starts[row] : ends[row + 1]].tobytes(), digest_size=8).digest()
+        hashes[row] = int.from_bytes(digest, "little")
+    return hashes
 
 
 def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -215,6 +243,19 @@ class Grams:
     def columns(self) -> int:
         return 1 if self.exact else self.size
 
+    @property
+    def joined(self) -> bool:
+        """Whether 64 bits hold a key inside its part and a word after it."""
+        return self.exact and self.rest + self.word_bits <= 64
+
+    def join(self, keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return (keys & mask(self.rest)) << np.uint64(self.word_bits) | words
+
+    def parted(self, part: int, both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and words of ``join``."""
+        key = (both >> np.uint64(self.word_bits)) + np.uint64((part << self.rest) & int(mask(64)))
+        return key, both & mask(self.word_bits)
+
     def regained(self, part: int, columns: list[np.ndarray]) -> np.ndarray:
         if not self.exact:
             return self.key(columns, len(columns[0]))
@@ -251,29 +292,43 @@ def sorted_grams(key: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.n
     return key[first], word[first], order[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
+def runs(values: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how many there are or the sum of ``n``."""
+    if n is None:
+        values = np.sort(values)
+    else:
+        order = np.argsort(values, kind="stable")  # made of sorted runs
+        values = values[order]
+    first = heads(values)
+    return values[first], np.diff(first, append=len(values)) if n is None else np.add.reduceat(n[order], first) if len(first) else n
+
+
 def heads(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
 
 
 def top_blocks(words: list[np.ndarray], grams: Grams) -> list[tuple[int, bytes]]:
     """Grams of the full order as blocks by their context: contexts, grams of each, last words and counts."""
-    key = grams.key(words[:-1], len(words[-1]))
-    key, last, at, n = sorted_grams(key, words[-1], np.ones(len(key), np.int64))
-    home, found = grams.part(key), []
-    for part in np.unique(home).tolist():
-        lo, hi = np.searchsorted(home, [part, part + 1])
-        own = heads(key[lo:hi])
-        context = grams.shown(key[lo:hi][own], [w[at[lo:hi][own]] for w in words[:-1]])
-        found.append((part, packed(*context, np.diff(own, append=hi - lo), last[lo:hi], n[lo:hi])))
+    keys, found = grams.key(words[:-1], len(words[-1])), []
+    for part, rows in by_home(grams.part(keys)):
+        if grams.joined:
+            both, n = runs(grams.join(keys[rows], words[-1][rows]), None)
+            key, last = grams.parted(part, both)
+            own, named = heads(key), []
+        else:
+            key, last, at, n = sorted_grams(keys[rows], words[-1][rows], np.ones(len(rows), np.int64))
+            own = heads(key)
+            named = [w[rows][at[own]] for w in words[:-1]]
+        found.append((part, packed(*grams.shown(key[own], named), np.diff(own, append=len(key)), last, n)))
     return found
 
 
 def numbered(texts: pa.Array, order: int, words: Vocabulary, end: int):
-    """``sequences`` of some texts, and the training count of each word."""
+    """``sequences`` of some texts and their sizes; their words' places among distinct ones, their numbers and counts."""
     hashes, places, sizes = split_words(texts)
     numbers, counts = words.find(hashes)
     flat, ends = sequences(numbers[places], sizes, order, words, end)
-    return flat, ends, sizes, counts[places]
+    return flat, ends, sizes, places, numbers, counts
 
 
 def tables(train: DataFrame, order: int, words: Vocabulary, end: int, n_train: int, folder: str) -> dict[int, list[np.ndarray]]:
@@ -290,7 +345,7 @@ def tables(train: DataFrame, order: int, words: Vocabulary, end: int, n_train: i
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[list[np.ndarray]] = []
             for _, texts in texts_of(batches):
-                flat, ends, _, _ = numbered(texts, order, words, end)
+                flat, ends, *_ = numbered(texts, order, words, end)
                 whole = np.ones(len(flat), bool)
                 for k in range(1, order):
                     whole[ends - k] = False
@@ -319,9 +374,14 @@ def tables(train: DataFrame, order: int, words: Vocabulary, end: int, n_train: i
             last.append(w)
             n.append(c)
         named = [np.concatenate(x) for x in zip(*named)]
-        key, last, at, n = sorted_grams(np.concatenate(keys), np.concatenate(last), np.concatenate(n).astype(np.int64))
-        named = [x[at] for x in named]
-        del keys, read, at
+        key, last, n = np.concatenate(keys), np.concatenate(last), np.concatenate(n).astype(np.int64)
+        del keys, read
+        if top.joined:
+            both, n = runs(top.join(key, last), n)
+            key, last = top.parted(part, both)
+        else:
+            key, last, at, n = sorted_grams(key, last, n)
+            named = [x[at] for x in named]
         real = last != np.uint64(words.pad)
         own = heads(key)
         stats = [np.add.reduceat(np.where(real, x, 0), own) for x in (n, n == 1, n == 2, n >= 3)]
@@ -460,27 +520,41 @@ def score(docs: DataFrame, training, text: str = "text", doc_id: str = "doc_id",
         def mass(k: int, n: np.ndarray) -> np.ndarray:
             return n - cut[k][np.minimum(n, 3).astype(np.int64)]
 
+        def looked_up(k: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """Count of each gram, and as a context its total, the mass left by the discounts, and its row."""
+            n, total, left, row = np.zeros(len(key)), np.zeros(len(key)), np.zeros(len(key)), np.full(len(key), -1)
+            for part, some in by_home(kinds[k].part(key)):
+                if (held := contexts[k].part(part)) is not None:
+                    row[some] = found = find(held, key[some] & mask(kinds[k].rest))
+                    codes, totals, *few = held[INDEX:]
+                    over = sum(d * x for d, x in zip(cut[k + 1][1:], few))
+                    total[some], left[some] = decoded([codes, totals, over], found)
+                    if (own := grams[k].part(part)) is not None:
+                        (n[some],) = decoded(own, found)
+            return n, total, left, row
+
         for batch, texts in texts_of(batches):
-            flat, ends, sizes, known = numbered(texts, order, words, end)
+            flat, ends, sizes, places, numbers, counts = numbered(texts, order, words, end)
             first = ends - sizes - 2  # the first word of each text
-            at = np.arange(len(known) + len(sizes)) + np.repeat(first - (np.cumsum(sizes + 1) - sizes - 1), sizes + 1)
+            at = np.arange(len(places) + len(sizes)) + np.repeat(first - (np.cumsum(sizes + 1) - sizes - 1), sizes + 1)
             # Grams that end at a token or at the start mark before the first one, which is needed as a context only.
             spots = np.arange(len(at) + len(sizes)) + np.repeat(first - 1 - (np.cumsum(sizes + 2) - sizes - 2), sizes + 2)
             before = np.arange(len(at)) + np.repeat(np.arange(len(sizes)), sizes + 1)  # the spot before each token
             c, is_word = np.full(len(at), float(end_count)), np.ones(len(at), bool)
             is_word[np.cumsum(sizes + 1) - 1] = False
-            c[is_word] = known
+            c[is_word] = counts[places]
+            distinct = np.append(numbers, np.array([end, words.start], np.uint64))
+            local = np.full(len(at), len(numbers))
+            local[is_word] = places
+            local = np.insert(local, np.cumsum(sizes + 1) - sizes - 1, len(numbers) + 1)
             p = None
             for k in range(1, order):
-                key = kinds[k].key([flat[spots - j] for j in range(k - 1, -1, -1)], len(spots))
-                n, total, left, row = np.zeros(len(key)), np.zeros(len(key)), np.zeros(len(key)), np.full(len(key), -1)
-                for part, some in by_home(kinds[k].part(key)):
-                    if (held := contexts[k].part(part)) is not None:
-                        row[some] = found = find(held, key[some] & mask(kinds[k].rest))
-                        total[some], *few = decoded(held[INDEX:], found)
-                        left[some] = sum(d * x for d, x in zip(cut[k + 1][1:], few))
-                        if (own := grams[k].part(part)) is not None:
-                            (n[some],) = decoded(own, found)
+                if k == 1:  # each distinct word once
+                    key = kinds[1].key([distinct], len(distinct))
+                    key, n, total, left, row = (x[local] for x in (key, *looked_up(1, key)))
+                else:
+                    key = kinds[k].key([flat[spots - j] for j in range(k - 1, -1, -1)], len(spots))
+                    n, total, left, row = looked_up(k, key)
                 own = mass(k, n[before + 1])
                 if k == 1:
                     p = own / root[0] + root[1] / root[0] / (vocabulary + 1)

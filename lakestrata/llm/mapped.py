@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 BUCKET_BITS = 3  # about eight to sixteen keys in a place of the directory
+FEW = 1 << 22  # numbers below it are told apart by a table
 FACTORS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
 
@@ -110,27 +111,40 @@ def find(index: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
         return np.full(len(keys), -1)
     place = (keys >> np.uint64(rest)).astype(np.int64)
     lo, end = starts[place].astype(np.int64), starts[place + 1].astype(np.int64)
-    hi, wanted = end, keys & mask(rest)
+    wanted = keys & mask(rest)
+    kind = np.uint32 if rest <= 32 else np.uint64
+    wanted = wanted.astype(kind)
 
     def at(rows: np.ndarray) -> np.ndarray:
         rows = np.minimum(rows, n - 1)
-        return low[rows] | high[rows].astype(np.uint64) << np.uint64(16)
+        return high[rows].astype(kind) << kind(16) | low[rows]
 
-    while (going := lo < hi).any():
-        middle = (lo + hi) >> 1
-        less = at(middle) < wanted
-        lo, hi = np.where(going & less, middle + 1, lo), np.where(going & ~less, middle, hi)
+    step = 1 << int((end - lo).max(initial=0)).bit_length()
+    while step := step >> 1:
+        following = lo + step
+        lo = np.where((following <= end) & (at(following - 1) < wanted), following, lo)
     return np.where((lo < end) & (at(lo) == wanted), lo, -1)
 
 
+def ranks(values: np.ndarray) -> np.ndarray:
+    """The place of each of some whole numbers among the distinct ones."""
+    most = int(values.max(initial=0))
+    if most >= FEW:
+        return np.unique(values, return_inverse=True)[1]
+    seen = np.zeros(most + 1, np.int64)
+    seen[values] = 1
+    return (np.cumsum(seen) - 1)[values]
+
+
 def coded(*columns: np.ndarray) -> list[np.ndarray]:
     """A code per row and the columns of the rows that the codes stand for."""
     codes = np.zeros(len(columns[0]), np.int64)
     for c in columns:
-        values, places = np.unique(c, return_inverse=True)
-        _, codes = np.unique(codes * max(1, len(values)) + places, return_inverse=True)
-    _, first = np.unique(codes, return_index=True)
-    return [narrow(codes, max(1, len(first))), *(c[first].astype(np.uint64) for c in columns)]
+        places = ranks(c)
+        codes = ranks(codes * (int(places.max(initial=0)) + 1) + places)
+    one = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
+    one[codes] = np.arange(len(codes))  # any row of each code
+    return [narrow(codes, max(1, len(one))), *(c[one].astype(np.uint64) for c in columns)]
 
 
 def decoded(arrays: list[np.ndarray], rows: np.ndarray) -> list[np.ndarray]:

@@ -379,3 +379,30 @@ def test_mapped_tables_find_each_key(tmp_path):
         got = decoded(table[INDEX:], rows)
         for values, want in zip(got, (counts, more)):
             assert (values == np.where(rows >= 0, np.append(want, 0)[rows], 0)).all()
+
+
+def test_word_hashes_differ_and_repeat():
+    import pyarrow as pa
+
+    from lakestrata.llm.lm_scoring import LONG, word_hashes
+
+    words = sorted({"x" * n + tail for n in (*range(1, 40), LONG - 1, LONG, LONG + 1, 3000) for tail in ("", "a", "b", "\x00", "é")} | {f"w{k}" for k in range(5000)})
+    hashes = word_hashes(pa.array(words))
+    assert len(set(hashes.tolist())) == len(words)
+    assert (word_hashes(pa.array(words[7:])) == hashes[7:]).all() and (word_hashes(pa.array(words).slice(7)) == hashes[7:]).all()
+    assert len(word_hashes(pa.array([], pa.string()))) == 0
+
+
+def test_language_model_takes_few_bytes_a_token(spark):
+    """What the model leaves in the shared folder; rows of three hashes and a count took over fifty bytes a token."""
+    from pathlib import Path
+
+    from lakestrata.llm import lm_scoring
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in shared.rglob("*") if f.is_file())
+    rng, before = np.random.default_rng(4), size()
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 20000, 500)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert lm_scoring.score(docs, F.lit(True)).count() == 200
+    assert size() - before < 25 * 200 * 500  # each pair and triple is new here
